@@ -13,8 +13,12 @@ from tributary.functions.temporal import WALL_CLOCK
 NUMBER_CHARACTERS = "0123456789+-.eE \t\r\n"
 SPECIAL_NUMBERS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
-# A full date is required; "2024", "2024-01" and "T12:30" are not timestamps.
-TIMESTAMP_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*)?$"
+# A full date is required; "2024", "2024-01" and "T12:30" are not timestamps. A time has
+# at least its first colon, may be cut short after a colon, and a zone is not looked at.
+DATE_SHAPE = r"\d{4}-\d{1,2}-\d{1,2}"
+TIME_SHAPE = r"(?=\d{1,2}:)\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)?"
+ZONE_SHAPE = r"Z|[+-]\d{2}(?::?\d{2})?|\s[\w/+-]*|\s+"
+TIMESTAMP_SHAPE = rf"^\s*({DATE_SHAPE}[ T]{TIME_SHAPE}|{DATE_SHAPE}$):?(?:{ZONE_SHAPE})?$"
 
 
 def safe_double(text: Column) -> Column:
@@ -26,7 +30,7 @@ def safe_double(text: Column) -> Column:
 
 def safe_timestamp(text: Column) -> Column:
     """Text to wall-clock timestamp, NULL where it is not a timestamp."""
-    return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast(WALL_CLOCK))
+    return F.regexp_extract(text, TIMESTAMP_SHAPE, 1).try_cast(WALL_CLOCK)
 
 
 def safe_int(value: Column) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.functions.temporal import utc_wall_clock
+from tributary.functions.temporal import WALL_CLOCK, utc_wall_clock
 
 # What a rule counts as one failure.
 ROWS = "rows"  # every row it marks
@@ -20,7 +21,8 @@ TABLE = "table"  # the table, if its row count is out of range
 class Check:
     """One rule on one column of a table.
 
-    ``severity`` is ``error`` (fails the run) or ``warn`` (is reported).
+    ``severity`` is ``error`` (fails the run) or ``warn`` (is reported). ``moment``
+    stands in for the present time.
     """
 
     table: str
@@ -31,6 +33,7 @@ class Check:
     low: float | None = None
     high: float | None = None
     row_condition: str | None = None
+    moment: str | None = None
 
     @property
     def name(self) -> str:
@@ -64,7 +67,8 @@ class Check:
         if self.rule == "at_least":
             return column < self.low
         if self.rule == "not_in_future":
-            return column > utc_wall_clock()
+            now = F.lit(self.moment).cast(WALL_CLOCK) if self.moment else utc_wall_clock()
+            return column > now
         raise ValueError(f"unknown rule: {self.rule}")
 
 
@@ -86,29 +90,35 @@ def foreign_values(df: DataFrame, check: Check) -> DataFrame:
     return marked.groupBy(check.column).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def outcomes(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failures of all ``checks`` of one table, from a single scan of it.
+def _marked(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """(number of the check, value) for every row a check marks."""
+    pairs = []
+    for number, check in checks:
+        by_value = check.counts in (VALUES, REPEATS)
+        value = F.col(check.column).cast("string") if by_value else F.lit(None).cast("string")
+        pair = F.struct(F.lit(number).alias("number"), value.alias("value"))
+        pairs.append(F.when(check.marks(), pair))
+    rows = df.select(F.explode(F.array(*pairs)).alias("pair"))
+    return rows.where(F.col("pair").isNotNull()).select("pair.*")
+
+
+def outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Failures of all ``checks`` from a single scan of each table.
 
     Each row is turned into (check, value) pairs for the checks that mark it. Counting
     the pairs combines them map-side, so a frequent value is no burden; the counts are
-    then reduced per check.
+    then reduced per check. All tables share the two exchanges.
     """
-    pairs = [
-        F.when(
-            check.marks(),
-            F.struct(
-                F.lit(number).alias("number"),
-                (
-                    F.col(check.column).cast("string")
-                    if check.counts in (VALUES, REPEATS)
-                    else F.lit(None).cast("string")
-                ).alias("value"),
-            ),
-        )
-        for number, check in enumerate(checks)
+    numbered = list(enumerate(checks))
+    marked = [
+        _marked(df, [(number, check) for number, check in numbered if check.table == name])
+        for name, df in tables.items()
     ]
-    marked = df.select(F.explode(F.array(*pairs)).alias("pair")).where(F.col("pair").isNotNull())
-    counted = marked.groupBy("pair.number", "pair.value").agg(F.count(F.lit(1)).alias("n"))
+    counted = (
+        reduce(DataFrame.unionByName, marked)
+        .groupBy("number", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     per_check = counted.groupBy("number").agg(
         F.sum("n").alias(ROWS),
         F.count(F.lit(1)).alias(VALUES),
@@ -117,15 +127,19 @@ def outcomes(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _with_settings(per_check, checks)
 
 
+def _float(limit: float | None) -> float | None:
+    return None if limit is None else float(limit)
+
+
 def _with_settings(per_check: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check, including those that marked no row."""
     spark = per_check.sparkSession
     settings = spark.createDataFrame(
         [
-            (number, c.name, c.table, c.column, c.severity, c.counts, c.low, c.high)
+            (number, c.name, c.table, c.column, c.severity, c.counts, _float(c.low), _float(c.high))
             for number, c in enumerate(checks)
         ],
-        "number int, check string, model string, column string, severity string, "
+        "number int, check string, model string, column_name string, severity string, "
         "counts string, low double, high double",
     )
     found = {kind: F.coalesce(F.col(kind), F.lit(0)) for kind in (ROWS, VALUES, REPEATS)}
@@ -137,11 +151,11 @@ def _with_settings(per_check: DataFrame, checks: Sequence[Check]) -> DataFrame:
         .otherwise(found[ROWS])
         .cast("long")
     )
-    # One row per check of the table on either side: a few dozen at most.
+    # Both sides have at most one row per check: a few dozen.
     return settings.join(F.broadcast(per_check), "number", "left").select(
         "check",
         "model",
-        "column",
+        "column_name",
         "severity",
         failures.alias("failures"),
         F.when(failures == 0, "pass").otherwise(F.col("severity")).alias("status"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -118,13 +117,13 @@ class ChecksFailed(Exception):
 def run_checks(
     table: Callable[[str], DataFrame], names: Iterable[str] | None = None
 ) -> DataFrame:
-    """Outcome of every check, one scan per checked model."""
-    chosen = {check.table for check in CHECKS} if names is None else set(names)
-    models = [name for name in dict.fromkeys(check.table for check in CHECKS) if name in chosen]
-    parts = [outcomes(table(name), [c for c in CHECKS if c.table == name]) for name in models]
-    if not parts:
+    """Outcome of every check of the chosen models, one scan per model."""
+    chosen = None if names is None else set(names)
+    checks = [check for check in CHECKS if chosen is None or check.table in chosen]
+    if not checks:
         raise ValueError("none of the chosen models has a check")
-    return reduce(DataFrame.unionByName, parts)
+    tables = {name: table(name) for name in dict.fromkeys(check.table for check in checks)}
+    return outcomes(tables, checks)
 
 
 def summarize(results: DataFrame) -> DataFrame:

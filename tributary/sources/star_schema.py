@@ -21,6 +21,24 @@ KINDS = (
     "normal", "fire", "water", "grass", "electric", "ice", "ghost", "rock", "dragon", "shadow",
 )
 
+# Layout of the tables; declared, so that no file is opened to find it out.
+TABLES = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 READING_START = "2024-01-01"
 SENSOR_START = "2021-01-01"
 SENSOR_STRETCH = 24
@@ -209,24 +227,35 @@ def pokemon(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.schema(TABLES[name]).parquet(f"{root.rstrip('/')}/{name}.parquet")
+
+
+# Source table to the table it comes from and how.
+SOURCES = {
+    "website_sessions": ("orders", website_sessions),
+    "orders": ("orders", orders),
+    "order_items": ("lineitem", order_items),
+    "order_item_refunds": ("lineitem", order_item_refunds),
+    "website_pageviews": ("events", website_pageviews),
+    "hidro_estacion_itabo_guazu": (
+        "events", lambda events: station_landing(events, "itabo_guazu", 0)
+    ),
+    "hidro_estacion_pozuelo_puente": (
+        "events", lambda events: station_landing(events, "pozuelo_puente", 1)
+    ),
+    "issues": ("orders", issues),
+    "pull_requests": ("lineitem", pull_requests),
+    "pokemon": ("embeddings", pokemon),
+}
+
+
 def loader(spark: SparkSession, root: str) -> Loader:
     """Sources over the Parquet tables under ``root``."""
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-    sources = {
-        "website_sessions": lambda: website_sessions(table("orders")),
-        "orders": lambda: orders(table("orders")),
-        "order_items": lambda: order_items(table("lineitem")),
-        "order_item_refunds": lambda: order_item_refunds(table("lineitem")),
-        "website_pageviews": lambda: website_pageviews(table("events")),
-        "hidro_estacion_itabo_guazu": lambda: station_landing(table("events"), "itabo_guazu", 0),
-        "hidro_estacion_pozuelo_puente": lambda: station_landing(
-            table("events"), "pozuelo_puente", 1
-        ),
-        "issues": lambda: issues(table("orders")),
-        "pull_requests": lambda: pull_requests(table("lineitem")),
-        "pokemon": lambda: pokemon(table("embeddings")),
-    }
-    return lambda name: sources[name]()
+    def load(name: str) -> DataFrame:
+        given, derive = SOURCES[name]
+        return derive(table(spark, root, given))
+
+    return load
