@@ -90,19 +90,33 @@ SUBSETS = {
 }
 
 
-def model(name: str, load: Loader, in_order: bool = True) -> DataFrame:
-    """The model as a lazy DataFrame over its sources.
+def models_over(load: Loader) -> Callable[[str], DataFrame]:
+    """Models by name as lazy DataFrames over ``load``; each is defined once.
 
-    Only the model itself is sorted. The models below it are not: sorted input would
-    cost a range exchange and mean nothing to what reads it.
+    Models that others read are not sorted: sorted input would cost a range exchange and
+    mean nothing to what reads it.
     """
+    known: dict[str, DataFrame] = {}
+
+    def get(name: str) -> DataFrame:
+        if name not in MODELS:
+            return load(name)
+        if name not in known:
+            known[name] = _make(name, get, in_order=False)
+        return known[name]
+
+    return get
+
+
+def _make(name: str, get: Callable[[str], DataFrame], in_order: bool) -> DataFrame:
     chosen = MODELS[name]
-    inputs = [
-        model(read, load, in_order=False) if read in MODELS else load(read)
-        for read in chosen.reads
-    ]
     make = partial(chosen.make, in_order=in_order) if chosen.sorted else chosen.make
-    return make(*inputs)
+    return make(*[get(read) for read in chosen.reads])
+
+
+def model(name: str, load: Loader, in_order: bool = True) -> DataFrame:
+    """One model as a lazy DataFrame over its sources."""
+    return _make(name, models_over(load), in_order)
 
 
 def build(
@@ -119,32 +133,28 @@ def build(
     in ``keep`` is stored although it is no mart, which pays when several marts read an
     expensive one. What was stored here is read back by the models that follow.
     """
-    wanted = list(MODELS) if names is None else list(names)
-    unknown = [name for name in [*wanted, *keep] if name not in MODELS]
+    wanted = set(MODELS) if names is None else set(names)
+    keep = set(keep)
+    unknown = sorted((wanted | keep) - set(MODELS))
     if unknown:
         raise KeyError(f"unknown models: {', '.join(unknown)}")
     built: dict[str, DataFrame] = {}
 
-    def resolve(name: str) -> DataFrame:
-        if name not in MODELS:
-            return load(name)
+    def get(name: str) -> DataFrame:
         if name in built:
             return built[name]
-        chosen = MODELS[name]
-        make = chosen.make
-        if chosen.sorted:
-            make = partial(make, in_order=in_order and chosen.stored)
-        return make(*[resolve(read) for read in chosen.reads])
+        return _make(name, get, in_order=False) if name in MODELS else load(name)
 
     # MODELS lists every model after those it reads.
-    for name in MODELS:
+    for name, chosen in MODELS.items():
         if name not in wanted:
             continue
-        df = resolve(name)
-        if MODELS[name].stored or name in keep:
+        stored = chosen.stored or name in keep
+        df = _make(name, get, in_order and stored)
+        if stored:
             full_refresh(df, f"{database}.{name}")
             df = spark.table(f"{database}.{name}")
         else:
             df.createOrReplaceTempView(name)
         built[name] = df
-    return {name: built[name] for name in wanted}
+    return built

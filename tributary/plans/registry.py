@@ -40,7 +40,7 @@ from tributary.operators.checks import (
     repeated_values,
 )
 from tributary.plans import marts
-from tributary.plans.models import MODELS, SUBSETS, build, model
+from tributary.plans.models import MODELS, SUBSETS, build, model, models_over
 from tributary.plans.quality import CHECKS, run_checks, summarize
 from tributary.sources import ingest, star_schema
 from tributary.sources.scratch import scratch_dir
@@ -443,8 +443,7 @@ def check_duplicate_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_outcomes(spark: SparkSession, folder: str) -> DataFrame:
-    load = star_schema.loader(spark, folder)
-    return run_checks(lambda name: model(name, load, in_order=False))
+    return run_checks(models_over(star_schema.loader(spark, folder)))
 
 
 def check_summary(spark: SparkSession, folder: str) -> DataFrame:
