@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.functions.temporal import utc_wall_clock
@@ -127,8 +126,8 @@ def load_stations(
             table = f"{database}.hidro_estacion_{station}"
             rows = full_refresh(to_landing(records, station, loaded_at), table, keep_if_empty=True)
             outcomes.append((station, "ok", rows, None))
-        except PySparkException as problem:
-            outcomes.append((station, "failed", None, str(problem)))
+        except Exception as problem:  # whatever stops one station is that station's outcome
+            outcomes.append((station, "failed", None, str(problem).split("\n\tat ")[0]))
     return spark.createDataFrame(
         outcomes, "station string, status string, rows long, error string"
     )
