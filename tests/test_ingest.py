@@ -66,9 +66,10 @@ def test_payload_keeps_the_whole_record(spark, tmp_path):
 
 
 def test_typed_payload_writes_absent_fields_as_null(spark, tmp_path):
-    path = write(tmp_path / "r.json", RECORDS[:1])
+    path = write(tmp_path / "r.json", [RECORDS[0] | {"tempagua": "cold"}])
     payload = json.loads(typed_to_landing(read_typed_records(spark, path), "s").first().raw_payload)
     assert payload["nivel"] == 1.5 and payload["od"] is None and "nota" not in payload
+    assert payload["tempagua"] == "cold" and payload["ph"] is None
 
 
 def test_one_load_time_for_all_rows(spark, tmp_path):

@@ -17,10 +17,10 @@ from tributary.sources.sinks import full_refresh
 LANDING_SCHEMA = (
     "station_name string, measurement_ts string, raw_payload string, extracted_at timestamp_ntz"
 )
-# Fields of a sensor record.
+# Fields of a sensor record. Measures are VARIANT: a sensor may send text.
 RECORD_SCHEMA = (
-    "fecha string, nivel double, conductividad double, ph double, turbidez double, "
-    "od double, tempagua double"
+    "fecha string, nivel variant, conductividad variant, ph variant, turbidez variant, "
+    "od variant, tempagua variant"
 )
 # Fixed value: field that wraps the list of records in an envelope.
 ENVELOPE = "results"
@@ -55,10 +55,11 @@ def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> D
 
 
 def _unwrapped(value: Column) -> Column:
-    many = "array<variant>"
-    is_list = F.schema_of_variant(value).startswith("ARRAY")
-    wrapped = F.try_variant_get(value, f"$.{ENVELOPE}", many)
-    return F.when(is_list, value.cast(many)).otherwise(F.coalesce(wrapped, F.array(value)))
+    """The records in one JSON value; a value that is no list does not convert to one."""
+    in_list, in_envelope = (
+        F.try_variant_get(value, path, "array<variant>") for path in ("$", f"$.{ENVELOPE}")
+    )
+    return F.coalesce(in_list, in_envelope, F.array(value))
 
 
 def read_typed_records(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
