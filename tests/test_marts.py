@@ -137,6 +137,30 @@ def test_refunds_of_products(spark):
     ]
 
 
+def test_product_refunds_equal_a_row_by_row_join(spark):
+    """An item id with a third of all rows in both tables."""
+    day = F.lit(JAN) + F.make_dt_interval(days=(F.col("id") % 50).cast("int"))
+    id_of = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None)
+    items = spark.range(1200).select(
+        id_of.otherwise(F.col("id") % 300).alias("order_item_id"),
+        day.alias("created_at"),
+        (F.col("id") % 4).alias("product_id"),
+        *[F.col("id").cast("decimal(18,2)").alias(c) for c in ("price_usd", "cogs_usd", "margin_usd")],
+    )
+    refunds = spark.range(600).select(
+        id_of.otherwise(F.col("id") % 400).alias("order_item_id"),
+        day.alias("created_at"),
+        F.when(F.col("id") % 9 != 0, F.col("id") * 0.25).cast("decimal(18,2)").alias("refund_amount_usd"),
+    )
+    month = F.date_trunc("month", F.col("created_at")).cast("timestamp_ntz")
+    pairs = refunds.join(items.select("order_item_id", "product_id"), "order_item_id")
+    expected = pairs.groupBy("product_id", month.alias("order_month")).agg(
+        F.count("*").alias("refund_count"), F.sum("refund_amount_usd").alias("refund_amount")
+    )
+    got = marts.fct_product_performance(items, refunds).select(*expected.columns)
+    assert values(got.where("refund_count > 0")) == values(expected)
+
+
 @pytest.mark.parametrize("hot_rows", [1_000_000, 2])
 def test_orders_repeat_per_refund(spark, hot_rows):
     orders = spark.createDataFrame(

@@ -135,9 +135,10 @@ def fct_product_performance(
 ) -> DataFrame:
     """Sales and refunds per product and month.
 
-    Refunds are combined per item and month before they meet the items, so an item id
-    that repeats in both tables does not pair up row by row. A refund belongs to the
-    month it was paid in; months without sales of the product are not reported.
+    Refunds are combined per item and month, and items per id and product, before they
+    meet. An id that repeats in both tables then gives one pair per month and product
+    instead of one per row; the pair counts for as many rows as went into it. A refund
+    belongs to the month it was paid in; months without sales are not reported.
     """
     sales = stg_order_items.groupBy(
         "product_id", month_of(F.col("created_at")).alias("order_month")
@@ -155,13 +156,13 @@ def fct_product_performance(
         item_refunds=row_count(),
         item_amount=F.sum("refund_amount_usd"),
     )
+    sold = collapse(stg_order_items, "order_item_id", "product_id", copies=row_count())
     refunds = (
-        stg_order_items.select("order_item_id", "product_id")
-        .join(per_item, "order_item_id")
+        sold.join(per_item, "order_item_id")
         .groupBy("product_id", "order_month")
         .agg(
-            F.sum("item_refunds").alias("refund_count"),
-            F.sum("item_amount").alias("refund_amount"),
+            F.sum(F.col("item_refunds") * F.col("copies")).alias("refund_count"),
+            F.sum(F.col("item_amount") * F.col("copies")).alias("refund_amount"),
         )
     )
     both = sales.join(refunds, ["product_id", "order_month"], "left").withColumns(
