@@ -84,10 +84,11 @@ def test_safe_int_out_of_range(spark):
 
 
 def test_json_fields(spark):
-    payload = '{"a": 1.5, "b": null, "c": "x", "d": [1, 2]}'
-    got = column(spark, "string", [payload, "{}", "no json"], lambda x: json_fields(x, "abcdz"))
-    assert tuple(got[0]) == ("1.5", None, "x", "[1,2]", None)
-    assert tuple(got[1]) == tuple(got[2]) == (None,) * 5
+    payload = '{"a": 1.5, "b": null, "c": "x", "d": [1, 2], "e": 12345678901234567890, "f": 1e-3}'
+    df = spark.createDataFrame([(payload,), ("{}",), ("no json",), (None,)], "x string")
+    got = [tuple(row) for row in df.select(json_fields(F.col("x"), "abcdefz")).collect()]
+    assert got[0] == ("1.5", None, "x", "[1,2]", "12345678901234567890", "0.001", None)
+    assert got[1:] == [(None,) * 7] * 3
 
 
 def test_lists(spark):

@@ -110,15 +110,12 @@ def fn_safe_cast(spark: SparkSession, folder: str) -> DataFrame:
 
 def fn_json(spark: SparkSession, folder: str) -> DataFrame:
     fields = json_fields(F.col("props"), ("k", "missing"))
-    rows = _events(spark, folder).select("event_id", "event_type", fields.alias("p"))
-    text = F.to_json(
-        F.struct("event_id", "event_type", F.col("p.missing").alias("missing")),
-        {"ignoreNullFields": "false"},
-    )
+    rows = _events(spark, folder).select("event_id", "event_type", fields)
+    text = F.to_json(F.struct("event_id", "event_type", "missing"), {"ignoreNullFields": "false"})
     return rows.select(
         "event_id",
-        F.col("p.k").alias("k_text"),
-        F.col("p.missing").alias("missing_text"),
+        F.col("k").alias("k_text"),
+        F.col("missing").alias("missing_text"),
         text.alias("as_json"),
     )
 
@@ -246,13 +243,10 @@ def win_partition_avg(spark: SparkSession, folder: str) -> DataFrame:
 
 def _readings(landing: DataFrame) -> DataFrame:
     """Landing rows with three payload fields as numbers, for comparison."""
-    reading = json_fields(F.col("raw_payload"), ("nivel", "ph", "tempagua"))
-    return landing.withColumn("r", reading).select(
-        "station_name",
-        "measurement_ts",
-        "extracted_at",
-        *[safe_double(F.col("r")[name]).alias(name) for name in ("nivel", "ph", "tempagua")],
-    )
+    fields = ("nivel", "ph", "tempagua")
+    kept = ("station_name", "measurement_ts", "extracted_at")
+    texts = landing.select(*kept, json_fields(F.col("raw_payload"), fields))
+    return texts.select(*kept, *[safe_double(F.col(name)).alias(name) for name in fields])
 
 
 def _records(spark: SparkSession, folder: str, station: str) -> DataFrame:

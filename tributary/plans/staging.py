@@ -217,14 +217,14 @@ def stg_hidro_mediciones(*stations: DataFrame) -> DataFrame:
         safe_timestamp(
             F.substring("measurement_ts", 1, TIMESTAMP_TEXT_LENGTH)
         ).alias("fecha_medicion"),
-        json_fields(F.col("raw_payload"), fields).alias("reading"),
         "extracted_at",
+        json_fields(F.col("raw_payload"), fields),
     )
     typed = parsed.where(taken.isNotNull()).select(
         "station_name",
         "fecha_medicion",
-        *[safe_double(F.col("reading")[f]).alias(raw) for f, raw, *_ in SENSOR_MEASURES],
         "extracted_at",
+        *[safe_double(F.col(field)).alias(raw) for field, raw, *_ in SENSOR_MEASURES],
     )
     return typed.select(
         lookup(F.col("station_name"), STATION_NAMES, F.col("station_name")).alias("estacion"),
