@@ -91,6 +91,14 @@ def test_landing_lines(spark, tmp_path):
         read_landing_lines(spark, write(tmp_path / "bad.ndjson", "{oops\n")).collect()
 
 
+@pytest.mark.parametrize("options", [{"declared_only": True}, {"whole_files": False}])
+def test_other_ways_to_load_a_station(spark, tmp_path, database, options):
+    path = write(tmp_path / "s.json", RECORDS)
+    outcome = load_stations(spark, {"s": path}, database, **options).first()
+    assert (outcome.status, outcome.rows) == ("ok", 2)
+    assert spark.table(f"{database}.hidro_estacion_s").where("raw_payload like '%nivel%'").count() == 2
+
+
 def test_every_station_has_an_outcome(spark, tmp_path, database):
     paths = {
         "good": write(tmp_path / "good.json.gz", RECORDS),

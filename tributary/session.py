@@ -17,9 +17,9 @@ DEFAULTS = {
 
 
 def get_session(app_name: str = "tributary", **conf: str) -> SparkSession:
-    """Return a session; ``conf`` keys use ``_`` for ``.`` only in the last resort.
+    """Return a session, as in ``get_session(**{"spark.master": "local[8]"})``.
 
-    Pass dotted keys with ``get_session(**{"spark.master": "local[8]"})``.
+    What the cluster or ``conf`` sets is left alone; the rest gets the defaults above.
     """
     builder = SparkSession.builder.appName(app_name)
     for key, value in conf.items():

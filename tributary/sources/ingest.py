@@ -114,18 +114,23 @@ def load_stations(
     database: str,
     loaded_at: Column | None = None,
     whole_files: bool = True,
+    declared_only: bool = False,
 ) -> DataFrame:
     """Load each station's files into its landing table; report every outcome.
 
     A station that cannot be read keeps the table it had and does not stop the others.
+    ``declared_only`` reads whole files of any size, without undeclared fields.
     The result has one row per station: station, status, rows, error.
     """
     outcomes = []
     for station, path in paths.items():
         try:
-            records = read_records(spark, path, whole_files)
+            if declared_only:
+                landing = typed_to_landing(read_typed_records(spark, path), station, loaded_at)
+            else:
+                landing = to_landing(read_records(spark, path, whole_files), station, loaded_at)
             table = f"{database}.hidro_estacion_{station}"
-            rows = full_refresh(to_landing(records, station, loaded_at), table, keep_if_empty=True)
+            rows = full_refresh(landing, table, keep_if_empty=True)
             outcomes.append((station, "ok", rows, None))
         except Exception as problem:  # whatever stops one station is that station's outcome
             outcomes.append((station, "failed", None, str(problem).split("\n\tat ")[0]))
