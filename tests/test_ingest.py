@@ -115,6 +115,19 @@ def test_every_station_has_an_outcome(spark, tmp_path, database):
     assert not spark.catalog.tableExists(f"{database}.hidro_estacion_gone")
 
 
+@pytest.mark.parametrize("payload", ["null", "[1, 2]", '[{"fecha": "2024-01-01"}, null]', "7"])
+def test_what_is_no_record_fails_the_load(spark, tmp_path, database, payload):
+    path = write(tmp_path / "s.json", payload)
+    outcome = load_stations(spark, {"s": path}, database).first()
+    assert outcome.status == "failed" and "not an object" in outcome.error
+
+
+def test_empty_file_has_no_rows(spark, tmp_path, database):
+    path = write(tmp_path / "s.json", "")
+    outcome = load_stations(spark, {"s": path}, database).first()
+    assert (outcome.status, outcome.rows) == ("ok", 0)
+
+
 def test_failed_or_empty_load_keeps_the_table(spark, tmp_path, database):
     path = tmp_path / "s.json"
     for payload, status, rows in [

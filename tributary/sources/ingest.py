@@ -51,7 +51,8 @@ def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> D
         .option("mode", "FAILFAST")
         .json(path)
     )
-    return values.select(F.explode(_unwrapped(F.col("value"))).alias("record"))
+    records = values.select(F.explode(_unwrapped(F.col("value"))).alias("record"))
+    return records.select(_object_or_error(F.col("record")).alias("record"))
 
 
 def _unwrapped(value: Column) -> Column:
@@ -62,6 +63,12 @@ def _unwrapped(value: Column) -> Column:
     return F.coalesce(in_list, in_envelope, F.array(value))
 
 
+def _object_or_error(record: Column) -> Column:
+    """A number, text or null in place of a record fails the load."""
+    is_object = F.schema_of_variant(record).startswith("OBJECT")
+    return F.when(is_object, record).otherwise(F.raise_error(F.lit("a record is not an object")))
+
+
 def read_typed_records(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
     """Records of whole-file JSON with the declared fields only.
 
