@@ -80,13 +80,15 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
                cast(null as varchar) as http_referer
         from orders"""),
     "src_orders": ((), """
-        select o_orderkey as order_id, o_orderdate as created_at, o_orderkey as website_session_id,
+        select o_orderkey as order_id,
+               o_orderdate + to_days(cast(o_custkey % 5 as integer)) as created_at,
+               o_orderkey - o_orderkey % 3 as website_session_id,
                o_custkey as user_id, o_orderkey % 25 as primary_product_id,
                cast(o_custkey % 4 + 1 as integer) as items_purchased,
                cast(o_totalprice as decimal(18,2)) as price_usd,
                cast(cast(cast(o_totalprice as decimal(18,2)) * 0.60 as decimal(18,2))
                     + o_custkey % 7 * 100 as decimal(18,2)) as cogs_usd
-        from orders where o_orderkey % 3 = 0"""),
+        from orders"""),
     "src_items": ((), """
         select l_orderkey * 10 + l_linenumber as order_item_id, l_shipdate as created_at,
                l_orderkey as order_id, l_partkey % 25 as product_id,

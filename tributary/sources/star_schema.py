@@ -78,12 +78,13 @@ def website_sessions(orders: DataFrame) -> DataFrame:
 
 
 def orders(orders: DataFrame) -> DataFrame:
-    price = _money(F.col("o_totalprice"))
+    """Every third session places three orders, up to four days later."""
+    key, price = F.col("o_orderkey"), _money(F.col("o_totalprice"))
     cost = _cost(price) + F.col("o_custkey") % 7 * 100
-    return orders.where(F.col("o_orderkey") % 3 == 0).select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").alias("created_at"),
-        F.col("o_orderkey").alias("website_session_id"),
+    return orders.select(
+        key.alias("order_id"),
+        _days_after(F.col("o_orderdate"), F.col("o_custkey") % 5).alias("created_at"),
+        (key - key % 3).alias("website_session_id"),
         F.col("o_custkey").alias("user_id"),
         (F.col("o_orderkey") % PRODUCTS).alias("primary_product_id"),
         (F.col("o_custkey") % 4 + 1).cast("int").alias("items_purchased"),
