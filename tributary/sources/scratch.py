@@ -2,23 +2,50 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared folder the cluster names in its settings.
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Executors on other machines must see it, so a local temporary folder is used only
-    where the whole session is one local process.
+    Both are reachable by all executors. The warehouse path is qualified by the file
+    system the session uses, so that it means the same folder on every machine.
     """
     shared = spark.conf.get(SETTING, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tributary-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if shared:
+        return shared.rstrip("/")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return f"{path.makeQualified(system.getUri(), system.getWorkingDirectory())}/_scratch"
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder name in the shared folder; it is removed when the process ends."""
+    folder = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    This cuts the lineage: a lost executor costs the tasks it ran, not the stages before.
+    """
+    spark = df.sparkSession
+    folder = scratch_dir(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may be gone; files left behind are only scratch
+        pass
