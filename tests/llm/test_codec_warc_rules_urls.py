@@ -120,7 +120,7 @@ def test_hosts_are_shrunk_and_judged(spark):
     assert kept[2001]  # one bad page alone says little about a host
     assert kept[2002]  # no host, no host verdict
     assert quality_rules.beta_prior(0.2, 0.01) == pytest.approx((3.0, 12.0))
-    assert quality_rules.beta_prior(None, None) == (0.0, 1.0)
+    assert quality_rules.beta_prior(None, None) == (0.0, 10.0)
 
 
 def active_by_hand(url, at, entries):

@@ -20,6 +20,8 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 #: A host is rejected when a rule's shrunk failure rate is above this.
 MAX_RATE = 0.5
+#: The prior weighs as much as so many documents at least, so one page condemns no host.
+MIN_WEIGHT = 10.0
 #: Rules by name; each is a condition on the counts of a document.
 RULES = {
     "short": "n_words < 50",
@@ -105,8 +107,8 @@ def host_verdicts(counted: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """A row per host: documents, shrunk failure rate per rule, verdict.
 
     The prior of a rule is the beta distribution with the mean and variance of the hosts'
-    raw rates (method of moments). With one host, or no spread, hosts are drawn to the
-    common mean with the weight of one document.
+    raw rates (method of moments). With one host, no spread, or hosts that are all good or
+    all bad, hosts are drawn to the common mean with the weight of MIN_WEIGHT documents.
     """
     failures = [F.sum(F.when(F.expr(rule), 1).otherwise(0)).alias(f"f_{name}") for name, rule in RULES.items()]
     hosts = counted.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n"), *failures)
@@ -125,8 +127,8 @@ def host_verdicts(counted: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
 def beta_prior(mean: float | None, variance: float | None) -> tuple[float, float]:
     """Parameters of the beta distribution with these moments."""
     mean = mean or 0.0
-    weight = mean * (1 - mean) / variance - 1 if variance else 1.0
-    weight = max(weight, 1.0)
+    weight = mean * (1 - mean) / variance - 1 if variance else MIN_WEIGHT
+    weight = max(weight, MIN_WEIGHT)
     return mean * weight, (1 - mean) * weight
 
 
@@ -139,7 +141,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     flags = ",\n         ".join(f"avg(CASE WHEN {rule} THEN 1.0 ELSE 0.0 END) AS r_{name}, sum(CASE WHEN {rule} THEN 1 ELSE 0 END) AS f_{name}" for name, rule in RULES.items())
     moments = ", ".join(f"coalesce(avg(r_{n}), 0) AS m_{n}, var_samp(r_{n}) AS v_{n}" for n in RULES)
-    weights = ", ".join(f"greatest(coalesce(m_{n} * (1 - m_{n}) / nullif(v_{n}, 0) - 1, 1), 1) AS w_{n}" for n in RULES)
+    weights = ", ".join(f"greatest(coalesce(m_{n} * (1 - m_{n}) / nullif(v_{n}, 0) - 1, {MIN_WEIGHT}), {MIN_WEIGHT}) AS w_{n}" for n in RULES)
     worst = ", ".join(f"(f_{n} + m_{n} * w_{n}) / (n + w_{n})" for n in RULES)
     return rf"""
 WITH d AS (
