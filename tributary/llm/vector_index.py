@@ -9,6 +9,7 @@ recall; every vector in a visited cell is then compared exactly.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +20,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tributary.llm.components import components
 from tributary.llm.ngram_join import forest
+from tributary.llm.sampling import hashed_sample
 from tributary.sources.scratch import stored
 
 MIN_COSINE = 0.95
 TARGET_RECALL = 0.999
-#: Bound of the sample the codebooks are fitted on, by smallest hash of the vector.
+#: Bound of the sample the codebooks are fitted on, by hash of the vector.
 SAMPLE = 8_192
-CODEWORDS = 32
+#: Vectors per cell to aim at, and a bound on the codewords of a half, which the sample has
+#: to support and whose square bounds the table of cell sizes.
+PER_CELL, MAX_CODEWORDS = 64, 512
 ROUNDS = 15
 #: Vectors of a cell, and visitors of it, that are compared in one task.
 TILE = 1_000
@@ -100,7 +104,7 @@ def _kmeans(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return centres
 
 
-def fit_index(sample: np.ndarray, min_cosine: float = MIN_COSINE, recall: float = TARGET_RECALL, codewords: int = CODEWORDS, seed: int = 0) -> MultiIndex:
+def fit_index(sample: np.ndarray, min_cosine: float = MIN_COSINE, recall: float = TARGET_RECALL, codewords: int = 32, seed: int = 0) -> MultiIndex:
     """Codebooks of unit vectors, and a reach under which the target recall is met.
 
     The reach is the given quantile of the distances from a vector to the cell of one
@@ -170,14 +174,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             yield pa.RecordBatch.from_arrays([batch["key"], batch["rep"], batch["m"], pa.array(raw, pa.binary())], names=["key", "rep", "m", "v"])
 
     classes = stored(classes.select("key", "rep", "m", "v").mapInArrow(pack, "key string, rep long, m long, v binary"), "vectors")
-    sample = classes.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("v").collect()
+    sample = hashed_sample(classes.select("key", "v"), SAMPLE, "key")
     if sample:
-        index = spark.sparkContext.broadcast(fit_index(unit_vectors([r.v for r in sample]), min_cosine, recall))
+        size = max(4, round(math.sqrt(classes.count() / PER_CELL)))
+        fitted = fit_index(unit_vectors([r.v for r in sample]), min_cosine, recall, min(size, MAX_CODEWORDS))
+        index = spark.sparkContext.broadcast(fitted)
         found = stored(_compare(classes, index, min_cosine), "near")
     else:
         found = spark.createDataFrame([], "key string, links long, other string")
-    # Ids of classes for the links: the row number of a key would need a global order, so
-    # links are between representatives; classes without any id take no part in them.
+    # Links are between the smallest ids of classes; those without any take no part in them.
     ids = classes.where("rep is not null").select("key", "rep")
     a, b = ids.select("key", F.col("rep").alias("a")), ids.select(F.col("key").alias("other"), F.col("rep").alias("b"))
     links = found.where("other is not null").join(a, "key").join(b, "other").select("a", "b")
@@ -220,7 +225,7 @@ def _compare(classes: DataFrame, index, min_cosine: float) -> DataFrame:
     def parts(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
 
-    # One row per cell, of which there are CODEWORDS squared at most.
+    # One row per cell, of which there are MAX_CODEWORDS squared at most.
     sizes = F.broadcast(parts(placed, "n_own").join(parts(visits, "n_seen"), "cell"))
     part = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
