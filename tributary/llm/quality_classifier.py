@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tributary.llm.sampling import hashed_sample
 from tributary.llm.words import IS_SPACE, Words, ngrams, text_slices
 
 #: Bounds of the training sample: texts of each kind, those with the smallest id hashes.
@@ -177,8 +178,7 @@ def train(
     """Fit a model outside the held-out fold.
 
     The positives are up to ``max_positive`` documents labelled 1, the unlabelled texts up
-    to ``max_unlabelled`` documents of any kind, each the ones with the smallest hash of
-    their id. The class prior is estimated by the share of 1 among all labels outside the
+    to ``max_unlabelled`` documents of any kind, each chosen by the hash of their id. The class prior is estimated by the share of 1 among all labels outside the
     held-out fold. The two id lists have that documented bound; they are what is
     broadcast, and their features are what comes to the driver.
     """
@@ -189,7 +189,7 @@ def train(
     prior = 0.5 if prior is None else float(prior)
 
     def smallest(rows: DataFrame, limit: int) -> DataFrame:
-        picked = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(limit).collect()
+        picked = hashed_sample(rows.select("id").distinct(), limit, "id")
         return spark.createDataFrame([(row.id,) for row in picked], rows.select("id").schema)
 
     ids = docs.select(F.col(id_col).alias("id")).where(fold("id") != 0)
