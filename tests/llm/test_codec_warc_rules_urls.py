@@ -33,10 +33,11 @@ def test_joined_leaves_equal_the_whole_encoding():
         assert own.decode(ids) == real.decode(ids, skip_special_tokens=False) == text
 
 
-def test_windows_stay_small_in_unsplit_text(monkeypatch):
+@pytest.mark.parametrize("unit", ["abc", "日本語", "é-"])
+def test_windows_stay_small_in_unsplit_text(monkeypatch, unit):
     own = bpe_codec.codec(bpe_codec.vocabulary_path())
     seen = []
-    text = "abc" * 20_000
+    text = unit * 20_000
     parts = [own.encode(text[i : i + 5_000]) for i in range(0, len(text), 5_000)]
     monkeypatch.setattr(own, "encode", lambda t: seen.append(len(t)) or bpe_codec.Codec.encode(own, t))
     assert bpe_codec.encode_tree(parts, own) == bpe_codec.Codec.encode(own, text)

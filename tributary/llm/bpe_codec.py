@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -91,10 +90,14 @@ class Codec:
             if skip is None:
                 return None
         start = sum(len(self.bytes[t]) for t in tail[:skip])
+        # The window must not end inside a character, which has four bytes at most.
+        while after and not whole_right and not _ends_whole(after):
+            head = head[:-1]
+            after = self.decode_bytes(head)
         try:
             text = (before[start:] + after).decode("utf-8")
         except UnicodeDecodeError:
-            return None  # the window ends inside a character
+            return None
         joined = self.encode(text)
         if not whole_left and joined[0] != tail[skip]:
             return None
@@ -132,23 +135,27 @@ class Codec:
     def _is_sync(self, text: bytes, place: int, size: int) -> bool:
         """Whether a scan that starts at this token splits what follows as any scan does.
 
-        So it is at a space before a visible character, where a piece always begins, and
-        within a run of one kind of characters, unless an apostrophe follows.
+        So it is at a space before a visible character and where letters, digits and other
+        signs meet, for a piece always begins there, and within a run of one of these
+        kinds. An apostrophe is left alone, since it may begin a contraction.
         """
         token = text[place : place + size]
         if token[0] == 0x20:
             return size > 1 and not token[1:].decode("utf-8", "replace")[0].isspace()
         if token[0] & 0xC0 == 0x80 or token[0] == 0x27 or token[-1:] == b"'":
             return False
-        ahead = token.decode("utf-8", "replace")[0]
+        ahead = text[place : place + 4].decode("utf-8", "ignore")[:1]
         behind = text[max(0, place - 4) : place].decode("utf-8", "ignore")[-1:]
-        return bool(behind) and behind != "'" and ahead != "�" and _kind(ahead) == _kind(behind) and _kind(ahead) != "space"
+        return bool(ahead and behind) and behind != "'" and not (ahead.isspace() or behind.isspace())
 
 
-def _kind(char: str) -> str:
-    if char.isspace():
-        return "space"
-    return {"L": "letter", "N": "number"}.get(unicodedata.category(char)[0], "other")
+def _ends_whole(text: bytes) -> bool:
+    """Whether the last character of a part of a text is complete."""
+    last = next((i for i in range(1, min(4, len(text)) + 1) if text[-i] & 0xC0 != 0x80), None)
+    if last is None:
+        return False
+    lead = text[-last]
+    return last == (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
 
 
 @lru_cache(maxsize=2)
