@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
+from tributary.sources.scratch import stored
+
 #: Intervals of a pattern that share a time bucket, on average.
 PER_BUCKET = 16
 
@@ -64,12 +66,14 @@ def active_entries(captures: DataFrame, entries: DataFrame, url_col: str = "url"
     pattern's number of intervals: a pattern with many changes has many buckets, so that
     a popular host's captures spread over as many keys and meet about PER_BUCKET intervals
     each. A pattern with few changes has one bucket, and then its intervals are the small
-    side, next to which adaptive execution can split the captures.
+    side, next to which adaptive execution can split the captures. For that the intervals
+    are stored first: on top of an aggregate or window of the same stage it could not.
     """
-    spans = validity(entries)
+    spans = stored(validity(entries), "spans")
     shape = spans.groupBy("pattern").agg(
         F.min("start").alias("t0"), F.max("start").alias("t1"), F.ceil(F.count(F.lit(1)) / PER_BUCKET).alias("buckets")
     ).withColumn("width", F.floor((F.col("t1") - F.col("t0")) / F.col("buckets")) + 1)
+    shape = stored(shape, "shape")
 
     def bucket(moment: Column) -> Column:
         return F.least(F.floor((moment - F.col("t0")) / F.col("width")), F.col("buckets") - 1)
