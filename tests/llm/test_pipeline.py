@@ -4,14 +4,15 @@ import random
 
 import duckdb
 import pytest
-from conftest import SMALL
-from test_text_operators import check_pieces, dedup_by_hand, jaccard_by_hand, words_of
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from tributary.llm import pii, quality_classifier
 from tributary.llm.registry import LLM_ORACLE, LLM_QUERIES
 
+from .conftest import SMALL
+from .test_text_operators import check_pieces, dedup_by_hand, jaccard_by_hand, words_of
+
 
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
