@@ -107,6 +107,23 @@ def test_ngram_edge_rows(documents):
     assert {r.doc_id for r in kept} == {5, 8, None} and kept[0].n_lines == "x"
 
 
+def test_screening_keeps_every_link(monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 1_400, dtype=np.uint64)
+    sets = []
+    for size in (5, 60, 1_000, 1_040, 1_300):
+        for _ in range(6):
+            own = base[:size].copy()
+            own[rng.random(size) < 0.04] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+            sets += [np.unique(own), np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))]
+    sizes = np.array([len(s) for s in sets])
+    maybe = ngram_join.screen([ngram_join.shape_of(s) for s in sets], sizes, 90)
+    linked = ngram_join.overlaps(sets, 90)
+    assert linked.sum() > 20 and not (linked & ~maybe).any()
+    unrelated = [i for i in range(1, len(sets), 2) if sizes[i] >= 60]
+    assert not maybe[unrelated].any() and not maybe[:, unrelated].any()
+
+
 def test_overlap_products_agree_with_sets():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60)).astype(np.uint64)) for _ in range(40)]
@@ -291,6 +308,15 @@ def check_pieces(rows, texts, window):
         assert at == window or at < window and at & (at - 1) == 0
 
 
+def test_words_are_tokenized_as_the_library_does():
+    own = packing.WordTokenizer(packing.vocabulary_path())
+    rng = random.Random(7)
+    parts = ["the", "Straße", "ÉTÉ", "don't", "we'LL", "x9", "--", "日本", "e\u0301", "İ", "ŉ", "<|endoftext|>", "<|", "\x85", "\xa0", "\x1c", "\x00", "ÿ", "½", "²", "A.B@c", "'"]
+    for _ in range(4_000):
+        text = "".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randrange(1, 9)))
+        assert np.frombuffer(own.encode(text.encode()), "<u2").tolist() == own.library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("shard", [40, 1_000_000])
 def test_every_token_is_packed_once(documents, shard):
     rng = random.Random(6)

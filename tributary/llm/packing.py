@@ -8,12 +8,14 @@ cut where the window ends. What is left of it is unused again.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,8 +27,8 @@ SHARD_TOKENS = 1_000_000
 #: The id that ends each document.
 END = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 1_500_000
+#: Words whose ids a Python worker remembers, the first it meets.
+REMEMBERED = 400_000
 K1, B = 1.2, 0.75
 
 
@@ -41,29 +43,56 @@ class WordTokenizer:
 
     This vocabulary's pieces never reach across white space, so a text's ids are those of
     its words, one after the other, and a word that came before needs no encoding.
+
+    Words of plain Latin letters, digits and marks are merged by rank, with the end of a
+    word as a byte of its own that no UTF-8 text holds. All others go to the library.
     """
 
+    #: Visible ASCII and Latin letters that Unicode normal form leaves as they are.
+    PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u0148\u014a-\u017f]*")
+    PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    WORD_END = b"\xff"
+
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        # The first 512 ids are the bytes, alone and at a word's end, and give the alphabet.
+        names = sorted(self.library.get_vocab(with_added_tokens=False).items(), key=lambda pair: pair[1])
+        names = [name for name, _ in names if not name.startswith("<|")]
+        order = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        order += [byte for byte in range(256) if byte not in order]
+        alphabet = {name: byte for name, byte in zip(names, order)}
+        ranks = {}
+        for rank, name in enumerate(names):
+            body = name.removesuffix("</w>")
+            ranks[bytes(alphabet[c] for c in body) + self.WORD_END * (body != name)] = rank
+        self.merged = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of texts in UTF-8, as little-endian unsigned 16-bit numbers."""
-        split = [text.split() for text in texts]
-        known = self.known
-        new = list({word for words in split for word in words if word not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({word for words in split for word in words})
-        for first in range(0, len(new), 10_000):
-            part = new[first : first + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            known.update((word, np.array(e.ids, "<u2").tobytes()) for word, e in zip(part, encoded))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a text in UTF-8, as little-endian unsigned 16-bit numbers."""
+        words = text.split()
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            return b"".join([self.known[word] if word in self.known else self._word(word) for word in words])
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.PLAIN.fullmatch(text) and "<|" not in text:
+            ids = []
+            for piece in self.PIECES.findall(text.lower()):
+                ids += self.merged.encode_single_piece(piece.encode() + self.WORD_END)
+        else:
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        encoded = np.array(ids, "<u2").tobytes()
+        if len(self.known) < REMEMBERED:
+            self.known[word] = encoded
+        return encoded
 
 
 @lru_cache(maxsize=1)
@@ -83,8 +112,8 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], "<u2").tobytes()
         for batch in batches:
-            texts = [(text.as_py() or "").encode() for text in batch["text"]]
-            ids = [x + end for x in tokenizer(path).encode(texts)]
+            own = tokenizer(path)
+            ids = [own.encode((text.as_py() or "").encode()) + end for text in batch["text"]]
             places = [_place(np.frombuffer(x, "<u2")) for x in ids]
             columns = [batch["doc_id"], pa.array(places, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "ids"])
