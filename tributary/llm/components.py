@@ -37,7 +37,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     larger = edges.select(F.col("v").alias("u"), F.col("u").alias("w"))
-    return larger.join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
+    return larger.join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

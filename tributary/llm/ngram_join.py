@@ -3,10 +3,12 @@
 Documents with equal n-gram sets are one class from the start. Two classes can only be
 linked if they share one of the rarest n-grams of each (their prefix, whose length follows
 from the set's size), so the matrix is cut into blocks of classes that share prefix
-columns. Within a block the product of the incidence matrix with its transpose is summed
-over column blocks; pairs whose sizes differ too much are left out, and the sum stops when
-no pair can still reach the bound its sizes set. A block returns a spanning forest of its
-links, not its pairs, so a large group of near-copies stays linear in what it writes.
+columns. Pairs are first screened by size alone: by the sizes of the two sets, and by how
+many n-grams of each fall into each of a few classes of hashes, since the overlap cannot
+be more than the sum of the smaller counts. For what is left of a block, the product of
+the incidence matrix with its transpose is summed over column blocks, and the sum stops
+when no pair can still reach the bound its sizes set. A block returns a spanning forest of
+its links, not its pairs, so a large group of near-copies stays linear in what it writes.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ TILE_DOCS = 1_000
 TILE_GRAMS = 2_000_000
 #: Columns that are multiplied at once.
 COLUMNS = 2_048
+#: Hash classes whose sizes screen pairs: for all sets, and for sets of MANY n-grams or more.
+MANY = 1_024
+COARSE, FINE = 64, 512
 
 
 def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -50,6 +55,46 @@ def _bucket(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def shape_of(grams: np.ndarray) -> bytes:
+    """How many n-grams fall into each hash class; FINE classes for large sets."""
+    classes = (grams & np.uint64(FINE - 1)).astype(np.int64)
+    if len(grams) < MANY:
+        classes //= FINE // COARSE
+    counts = np.bincount(classes, minlength=COARSE if len(grams) < MANY else FINE)
+    return counts.astype(next(f"<u{size}" for size in (1, 2, 4) if counts.max() < 1 << 8 * size)).tobytes()
+
+
+def _shapes(raw: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The COARSE counts of all sets, and the FINE ones of the large (others are zero)."""
+    coarse = np.zeros((len(raw), COARSE), np.int64)
+    fine = np.zeros((len(raw), FINE if (sizes >= MANY).any() else 0), np.int64)
+    for i, (shape, size) in enumerate(zip(raw, sizes)):
+        classes = COARSE if size < MANY else FINE
+        counts = np.frombuffer(shape, f"<u{len(shape) // classes}")
+        coarse[i] = counts if classes == COARSE else counts.reshape(COARSE, -1).sum(1)
+        if classes == FINE:
+            fine[i] = counts
+    return coarse, fine
+
+
+def screen(raw: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets may be linked, as an upper triangle: all that are, and few more."""
+    k = len(sizes)
+    coarse, fine = _shapes(raw, sizes)
+    maybe = np.zeros((k, k), bool)
+    for i in range(k - 1):
+        others = np.arange(i + 1, k)
+        needed = percent * (sizes[i] + sizes[others])
+        others = others[np.minimum(sizes[i], sizes[others]) * (100 + percent) >= needed]
+        for counts, fits in ((coarse, np.ones(k, bool)), (fine, sizes >= MANY)):
+            if len(others) and fits[i]:
+                most = np.minimum(counts[i], counts[others]).sum(1)
+                needed = percent * (sizes[i] + sizes[others])
+                others = others[~fits[others] | (most * (100 + percent) >= needed)]
+        maybe[i, others] = True
+    return maybe
+
+
 def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     """How many n-grams of all texts fall on each counter.
 
@@ -80,37 +125,51 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, prefix) of each row of (doc_id, text)."""
+    """(doc_id, n_shingles, set_key, prefix, shape) of each row of (doc_id, text)."""
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, n))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, prefixes, ends = [], [], [np.empty(0, np.uint64)], [0]
+            sizes, keys, prefixes, ends, shapes = [], [], [np.empty(0, np.uint64)], [0], []
             for grams in gram_sets(batch["text"], n):
                 sizes.append(len(grams))
                 keys.append(_set_key(grams))
+                shapes.append(shape_of(grams))
                 if len(grams):
                     order = np.lexsort((grams, sketch.value[_bucket(grams)]))
                     prefixes.append(grams[order[: prefix_size(len(grams), percent)]])
                 ends.append(ends[-1] + (prefix_size(len(grams), percent) if len(grams) else 0))
             flat = pa.array(np.concatenate(prefixes).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-            arrays = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "set_key", "prefix"])
+            arrays = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(shapes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "set_key", "prefix", "shape"])
+
+    return docs.mapInArrow(build, "doc_id long, n_shingles long, set_key binary, prefix array<long>, shape binary")
 
-    return docs.mapInArrow(build, "doc_id long, n_shingles long, set_key binary, prefix array<long>")
+
+def size_band(percent: int) -> Column:
+    """The band of a set of ``n`` n-grams; linked sets are in the same or the next band."""
+    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
+    return F.floor(F.log("n") / width).cast("long")
 
 
-def blocks(classes: DataFrame) -> DataFrame:
-    """(block, rep): which classes meet where, such that any two that share a column do.
+def blocks(classes: DataFrame, percent: int) -> DataFrame:
+    """(block, rep): which classes meet where, such that any two that may be linked do.
 
-    A class's home is the most frequent of its shared columns, so a group of near-copies
-    has few homes. A class also visits the homes of others it shares a column with, if they
-    come after its own.
+    A column is an n-gram and a band of sizes; it holds the classes of that band and the
+    one below, and at least one of that band. A class's home is the most frequent of its
+    shared columns, so a group of near-copies has few homes. A class also visits the homes
+    of others it shares a column with, if they come after its own.
     """
-    cells = classes.select("rep", F.explode("prefix").alias("gram"))
-    frequent = cells.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = stored(cells.join(frequent, "gram"), "cells")
+    cells = classes.select("rep", "n", F.explode("prefix").alias("gram"))
+    frequent = cells.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("gram")
+    banded = cells.join(frequent, "gram").withColumn("band", size_band(percent))
+    above = F.explode(F.array(F.lit(0), F.lit(1))).alias("above")
+    columns = banded.select("rep", "gram", "band", above).select("rep", F.xxhash64("gram", F.col("band") + F.col("above")).alias("gram"), "above")
+    columns = stored(columns, "columns")
+    counted = columns.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.min("above").alias("above"))
+    counted = counted.where("df > 1 and above = 0").select("gram", "df")
+    shared = stored(columns.select("rep", "gram").join(counted, "gram"), "cells")
     homes = shared.groupBy("rep").agg(F.max(F.struct("df", "gram"))["gram"].alias("home"))
     placed = stored(shared.select("rep", "gram").join(homes, "rep"), "placed")
     found = placed.select("gram", F.col("home").alias("block")).distinct()
@@ -119,14 +178,13 @@ def blocks(classes: DataFrame) -> DataFrame:
 
 
 def tiles(members: DataFrame, percent: int) -> DataFrame:
-    """(tile columns, rep, set_key): blocks as they are, large ones cut into pairs of parts.
+    """(tile columns, rep): blocks as they are, large ones cut into pairs of parts.
 
     A large block is cut by bands of set size, within which sizes differ by the bound at
     most, and each band into parts of bounded size by hash. Only parts of equal or
     neighbouring bands are paired. Single classes need no tile.
     """
-    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
-    banded = members.withColumn("band", F.floor(F.log("n") / width).cast("long"))
+    banded = members.withColumn("band", size_band(percent))
 
     def parts(count: str, grams: str) -> Column:
         return F.ceil(F.greatest(F.col(count) / TILE_DOCS, F.col(grams) / TILE_GRAMS)).cast("int")
@@ -137,7 +195,7 @@ def tiles(members: DataFrame, percent: int) -> DataFrame:
     large = totals.where(parts("k", "g") > 1).select("block")
     none = F.lit(0)
     plain = banded.join(whole, "block").select(
-        "block", *[none.cast(t).alias(c) for c, t in (("low", "long"), ("low_part", "int"), ("high", "long"), ("high_part", "int"))], "rep", "set_key"
+        "block", *[none.cast(t).alias(c) for c, t in (("low", "long"), ("low_part", "int"), ("high", "long"), ("high_part", "int"))], "rep"
     )
     cut = bands.join(large, "block").select("block", "band", parts("k", "g").alias("parts"))
     own = banded.join(cut, ["block", "band"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).drop("parts")
@@ -152,7 +210,6 @@ def tiles(members: DataFrame, percent: int) -> DataFrame:
         F.when(first, F.col("other")).otherwise(F.col("band")).alias("high"),
         F.when(first, F.col("other_part")).otherwise(F.col("part")).alias("high_part"),
         "rep",
-        "set_key",
     )
     return plain.unionByName(pairs)
 
@@ -232,13 +289,27 @@ def ngram_components(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = stored(document_sets(rows, n, percent), "sets")
     classes = sets.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix")
+        F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("shape").alias("shape")
     )
     classes = stored(classes.where("rep is not null"), "classes")
-    members = blocks(classes).join(classes.select("rep", "set_key", "n"), "rep")
-    placed = stored(tiles(stored(members, "members"), percent), "tiles")
+    sized = classes.select("rep", "n")
+    members = stored(blocks(classes, percent).join(sized, "rep"), "members")
+    met = tiles(members, percent).join(classes.select("rep", "n", "set_key", "shape"), "rep")
+    tile = ["block", "low", "low_part", "high", "high_part"]
+
+    def meet(key, group: pd.DataFrame) -> pd.DataFrame:
+        reps = group["rep"].to_numpy(np.int64)
+        tree = forest(screen(list(group["shape"]), group["n"].to_numpy(np.int64), percent), np.arange(len(reps)))
+        roots = {child: root for child, root in tree} | {root: root for _, root in tree}
+        rows = [(*key, int(reps[root]), int(reps[i]), group["set_key"].iloc[i]) for i, root in roots.items()]
+        return pd.DataFrame(rows, columns=[*tile, "part", "rep", "set_key"])
 
-    # Only classes that meet another need their whole sets, which are made from the text again.
+    screened = met.groupBy(*tile).applyInPandas(
+        meet, "block long, low long, low_part int, high long, high_part int, part long, rep long, set_key binary"
+    )
+    placed = stored(screened, "tiles")
+
+    # Only classes that may be linked need their whole sets, which are made from the text again.
     wanted = placed.select("rep", "set_key").distinct()
     texts = rows.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "set_key", "text")
 
@@ -250,16 +321,16 @@ def ngram_components(
             yield pa.RecordBatch.from_arrays([batch["rep"], batch["set_key"], grams], names=["rep", "set_key", "grams"]).filter(same)
 
     whole = texts.mapInArrow(whole_sets, "rep long, set_key binary, grams binary").dropDuplicates(["set_key"])
-    tile = ["block", "low", "low_part", "high", "high_part"]
 
     def link(key, group: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(group) > 1:
+            group = group.sort_values("rep")  # roots are then the smallest ids
             held = [np.frombuffer(x, np.uint64) for x in group["grams"]]
             found = forest(overlaps(held, percent), group["rep"].to_numpy(np.int64))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    links = placed.join(whole.drop("rep"), "set_key").groupBy(*tile).applyInPandas(link, "a long, b long")
+    links = placed.join(whole.drop("rep"), "set_key").groupBy(*tile, "part").applyInPandas(link, "a long, b long")
     linked = components(links)
     named = classes.select("set_key", "rep").join(linked, F.col("rep") == F.col("id"), "left")
     named = named.select("set_key", F.coalesce("component", "rep").alias("component_id"))
