@@ -8,7 +8,10 @@ from tributary.plans.quality import CHECKS
 NUMBERS = """
     station_name, measurement_ts, extracted_at,
     cast(json_extract_string(raw_payload, '$.nivel') as double) as nivel,
+    cast(json_extract_string(raw_payload, '$.conductividad') as double) as conductividad,
     cast(json_extract_string(raw_payload, '$.ph') as double) as ph,
+    cast(json_extract_string(raw_payload, '$.turbidez') as double) as turbidez,
+    cast(json_extract_string(raw_payload, '$.od') as double) as od,
     cast(json_extract_string(raw_payload, '$.tempagua') as double) as tempagua
 """
 
@@ -18,6 +21,11 @@ def _classes(label: str, relation: str, *by: str) -> str:
     return statement(f"select {columns}, count(*) as rows from {relation} group by all", relation)
 
 
+def _both_stations(columns: str) -> str:
+    rows = "(from landing_itabo union all from landing_pozuelo)"
+    return statement(f"select {columns} from {rows}", "landing_itabo", "landing_pozuelo")
+
+
 def _failures(check) -> str:
     """Number of failures of one check as a scalar query."""
     table, column = check.table, check.column
@@ -97,8 +105,15 @@ ORACLE |= {
                date_trunc('second', ts) as whole_ts,
                try_cast(left(strftime(ts, '%Y-%m-%d %H:%M:%S'), cast(event_id % 20 as integer))
                         as timestamp) as cut_ts,
-               try_cast(event_id * 1000000 as integer) as narrowed
-        from events""",
+               try_cast(event_id * 1000000 as integer) as narrowed,
+               try_cast(halves as integer) as from_double,
+               try_cast(cast(halves as decimal(18,2)) as integer) as from_decimal,
+               try_cast(cast(halves as varchar) as integer) as from_text,
+               try_cast(cast(value as varchar)
+                        || (['', 'e1', 'd', 'f', 'x', ' ', '-'])[event_id % 7 + 1] as integer)
+                   as from_spoilt
+        from (select *, (event_id - 40) / 2 + if(event_id % 3 = 0, 0.25, 0.0)::double as halves
+              from events)""",
     "fn_json": """
         select event_id, json_extract_string(props, '$.k') as k_text,
                json_extract_string(props, '$.missing') as missing_text,
@@ -150,13 +165,10 @@ ORACLE |= {
             select estacion, round(avg(nivel_promedio), 3) + 0.0 as station_level
             from int_hidro_diario group by estacion
         ) using (estacion)""", "int_hidro_diario"),
-    "ingest_ndjson": statement(
-        f"select {NUMBERS} from (from landing_itabo union all from landing_pozuelo)",
-        "landing_itabo", "landing_pozuelo"),
-    "ingest_json_array": statement(f"select {NUMBERS} from landing_itabo", "landing_itabo"),
-    "ingest_envelope": statement(f"select {NUMBERS} from landing_pozuelo", "landing_pozuelo"),
-    "ingest_landing": statement(
-        f"select {NUMBERS}, nivel is not null as level_known from landing_itabo", "landing_itabo"),
+    "ingest_ndjson": _both_stations(NUMBERS),
+    "ingest_json_array": _both_stations(NUMBERS),
+    "ingest_envelope": _both_stations(NUMBERS),
+    "ingest_landing": _both_stations(f"{NUMBERS}, nivel is not null as level_known"),
     "ingest_summary": statement("""
         select 'itabo_guazu' as station, 'ok' as status, count(*) as rows, false as has_error
         from landing_itabo

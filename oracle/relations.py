@@ -131,8 +131,9 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         from lineitem"""),
     "src_creatures": ((), """
         select vec_id, 'creature-' || (vec_id % 450) as name,
-               list_transform(list_slice(embedding, 1, if(vec_id % 20 = 0, 5, 6)),
-                              lambda x: cast(floor(abs(cast(x as double)) * 1000) as integer)) as stats,
+               list_transform(range(0, if(vec_id % 20 = 0, 5, 6)), lambda place: cast(floor(list_sum(
+                   list_transform(list_filter(embedding, lambda x, i: (i - 1) % 6 = place),
+                                  lambda x: floor(abs(cast(x as double)) * 1000))) / 10) as integer)) as stats,
                ['normal', 'fire', 'water', 'grass', 'electric', 'ice', 'ghost', 'rock', 'dragon',
                 'shadow'] as kinds,
                label
@@ -193,7 +194,9 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
                stats[1] as hp, stats[2] as attack, stats[3] as defense, stats[4] as special_attack,
                stats[5] as special_defense, stats[6] as speed,
                kinds[label % 10 + 1] as primary_type,
-               if(vec_id % 3 = 0, kinds[(label + 3) % 10 + 1], null) as secondary_type
+               if(vec_id % 3 = 0, kinds[(label + 3) % 10 + 1], null) as secondary_type,
+               primary_type || if(vec_id % 3 = 0, ',' || secondary_type, '') as types,
+               true as loaded_at_known
         from src_creatures"""),
     "stg_hidro_mediciones": (("landing_itabo", "landing_pozuelo"), f"""
         select *, {_clean}, {_flags}
@@ -382,7 +385,7 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
             from stg_hidro_mediciones group by all
         )"""),
     "mart_pokemon_analytics": (("stg_pokemon",), """
-        select * exclude (height, weight) replace (ifnull(secondary_type, 'none') as secondary_type),
+        select * exclude (height, weight, types, loaded_at_known) replace (ifnull(secondary_type, 'none') as secondary_type),
                hp + attack + defense + special_attack + special_defense + speed as total_base_stats,
                round(weight_kg / nullif(height_meters ** 2, 0), 2) + 0.0 as bmi_index,
                attack + special_attack as total_attack_power,

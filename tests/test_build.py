@@ -33,15 +33,15 @@ def test_marts_are_tables_and_the_rest_views(spark, load, database):
     built = build(spark, load, database, SUBSETS["sensors"])
     assert set(built) == set(SUBSETS["sensors"])
     tables = {table.name for table in spark.catalog.listTables(database) if not table.isTemporary}
-    assert tables == {"mart_hidro_resumen", "mart_hidro_calidad"}
+    assert tables == {"mart_hidro_resumen", "mart_hidro_calidad", "stg_hidro_mediciones"}
     assert spark.table("int_hidro_diario").count() == built["mart_hidro_resumen"].count()
 
 
 def test_kept_model_is_stored_and_read_back(spark, load, database):
-    build(spark, load, database, SUBSETS["sensors"], keep=["stg_hidro_mediciones"])
+    build(spark, load, database, SUBSETS["sensors"], keep=["int_hidro_diario"])
     stored = spark.table(f"{database}.mart_hidro_calidad")
     assert values(stored) == values(model("mart_hidro_calidad", load))
-    assert spark.catalog.tableExists(f"{database}.stg_hidro_mediciones")
+    assert spark.catalog.tableExists(f"{database}.int_hidro_diario")
 
 
 def test_one_mart_alone_and_again(spark, load, database):

@@ -11,10 +11,9 @@ from tributary.sources.ingest import (
     load_stations,
     read_landing_lines,
     read_records,
-    read_typed_records,
     to_landing,
-    typed_to_landing,
 )
+from tributary.sources import scratch
 from tributary.sources.scratch import scratch_dir
 from tributary.sources.sinks import append, full_refresh
 
@@ -43,10 +42,17 @@ def write(path, payload):
 def test_layouts_of_whole_files(spark, tmp_path, name, payload, rows):
     path = write(tmp_path / name, payload)
     whole = to_landing(read_records(spark, path, whole_files=True), "s")
-    typed = typed_to_landing(read_typed_records(spark, path), "s")
-    assert whole.count() == typed.count() == rows
-    columns = ("station_name", "measurement_ts")
-    assert values(whole, *columns) == values(typed, *columns)
+    lines = to_landing(read_records(spark, path), "s")
+    assert whole.count() == lines.count() == rows
+    assert values(whole, "raw_payload") == values(lines, "raw_payload")
+
+
+@pytest.mark.parametrize("whole_files", [True, False])
+def test_a_record_may_have_a_field_like_the_envelope(spark, tmp_path, whole_files):
+    inner = {"fecha": "2024-01-01", "results": [{"fecha": "2024-01-02"}]}
+    path = write(tmp_path / "r.json", [inner])
+    landing = to_landing(read_records(spark, path, whole_files), "s")
+    assert values(landing, "measurement_ts") == [("2024-01-01",)]
 
 
 def test_layouts_line_by_line(spark, tmp_path):
@@ -65,13 +71,6 @@ def test_payload_keeps_the_whole_record(spark, tmp_path):
     assert (kept.station_name, kept.extracted_at) == ("s", ts("2024-06-01"))
 
 
-def test_typed_payload_writes_absent_fields_as_null(spark, tmp_path):
-    path = write(tmp_path / "r.json", [RECORDS[0] | {"tempagua": "cold"}])
-    payload = json.loads(typed_to_landing(read_typed_records(spark, path), "s").first().raw_payload)
-    assert payload["nivel"] == 1.5 and payload["od"] is None and "nota" not in payload
-    assert payload["tempagua"] == "cold" and payload["ph"] is None
-
-
 def test_one_load_time_for_all_rows(spark, tmp_path):
     path = write(tmp_path / "r.json", RECORDS)
     landing = to_landing(read_records(spark, path, whole_files=True), "s")
@@ -91,7 +90,7 @@ def test_landing_lines(spark, tmp_path):
         read_landing_lines(spark, write(tmp_path / "bad.ndjson", "{oops\n")).collect()
 
 
-@pytest.mark.parametrize("options", [{"declared_only": True}, {"whole_files": False}])
+@pytest.mark.parametrize("options", [{"whole_files": True}, {"whole_files": False}])
 def test_other_ways_to_load_a_station(spark, tmp_path, database, options):
     path = write(tmp_path / "s.json", RECORDS)
     outcome = load_stations(spark, {"s": path}, database, **options).first()
@@ -122,6 +121,23 @@ def test_what_is_no_record_fails_the_load(spark, tmp_path, database, payload):
     assert outcome.status == "failed" and "not an object" in outcome.error
 
 
+@pytest.mark.parametrize("payload", [{"results": None}, {"results": {"fecha": "x"}}, {"results": 3}])
+def test_an_envelope_without_a_list_fails_and_keeps_the_table(spark, tmp_path, database, payload):
+    path = tmp_path / "s.json"
+    for content, status in ((RECORDS, "ok"), (payload, "failed")):
+        write(path, content)
+        outcome = load_stations(spark, {"s": str(path)}, database).first()
+        assert outcome.status == status
+    assert "results is not a list" in outcome.error
+    assert spark.table(f"{database}.hidro_estacion_s").count() == 2
+
+
+def test_files_over_several_lines_name_the_remedy(spark, tmp_path, database):
+    path = write(tmp_path / "s.json", json.dumps(RECORDS, indent=1))
+    assert "whole_files" in load_stations(spark, {"s": path}, database).first().error
+    assert load_stations(spark, {"s": path}, database, whole_files=True).first().rows == 2
+
+
 def test_empty_file_has_no_rows(spark, tmp_path, database):
     path = write(tmp_path / "s.json", "")
     outcome = load_stations(spark, {"s": path}, database).first()
@@ -154,6 +170,23 @@ def test_full_refresh_and_append(spark, database):
     assert spark.table(table).count() == 0
 
 
+def test_rows_before_stay_readable_for_one_refresh(spark, database):
+    table = f"{database}.t"
+    full_refresh(spark.range(5), table)
+    before = spark.table(table)
+    full_refresh(spark.range(3), table)
+    assert before.count() == 5 and spark.table(table).count() == 3
+    with pytest.raises(Exception, match="oops"):
+        full_refresh(spark.range(2).select(F.raise_error(F.lit("oops")).cast("long").alias("id")), table)
+    assert spark.table(table).count() == 3
+
+
+def test_scratch_is_in_the_warehouse_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "SETTING", "spark.no.such.setting")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    assert scratch_dir(spark, "x").removeprefix("file:").startswith(f"{warehouse}/_scratch/x-")
+
+
 def test_scratch_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")

@@ -5,7 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tributary.operators.aggregates import collapse
-from tributary.operators.joins import hot_keys, left_join
+from tributary.operators.joins import left_join
 
 
 def skewed(spark, rows, spread, name):
@@ -18,27 +18,27 @@ def skewed(spark, rows, spread, name):
     return spark.range(rows).select(key.alias("k"), F.col("id").alias(name))
 
 
-def test_hot_keys_are_found(spark):
-    assert hot_keys(skewed(spark, 3000, 900, "l"), "k", hot_rows=500) == [7]
-    assert hot_keys(skewed(spark, 3000, 900, "l"), "k", hot_rows=2000) == []
-    assert hot_keys(spark.createDataFrame([], "k long"), "k", hot_rows=1) == []
-
-
-@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
-def test_left_join_equals_the_plain_join(spark, hot_rows):
-    left, right = skewed(spark, 300, 90, "l"), skewed(spark, 600, 250, "r")
-    got = left_join(left, right, "k", hot_rows)
+@pytest.mark.parametrize("rows, spread", [(300, 90), (900, 5), (0, 1)])
+def test_left_join_equals_the_plain_join(spark, rows, spread):
+    left, right = skewed(spark, rows, spread, "l"), skewed(spark, 2 * rows, 250, "r")
+    got = left_join(left, right, "k")
     assert values(got, "k", "l", "r") == values(left.join(right, "k", "left"), "k", "l", "r")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10_000])
-def test_left_join_on_text_keys(spark, hot_rows):
+def test_left_join_on_text_keys(spark):
     left = skewed(spark, 90, 30, "l").withColumn("k", F.concat(F.lit("it's "), F.col("k")))
     right = skewed(spark, 90, 45, "r").withColumn("k", F.concat(F.lit("it's "), F.col("k")))
-    got = left_join(left, right, "k", hot_rows)
+    got = left_join(left, right, "k")
     assert values(got, "k", "l", "r") == values(left.join(right, "k", "left"), "k", "l", "r")
 
 
+def test_left_join_is_defined_without_a_job(spark):
+    left, right = skewed(spark, 300, 90, "l"), skewed(spark, 600, 250, "r")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    left_join(left, right, "k")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
 def test_collapse_groups_by_the_key_alone(spark):
     rows = skewed(spark, 3000, 900, "l")
     got = collapse(rows, "k", n=F.count("l"), total=F.sum("l"))
@@ -83,7 +83,7 @@ def test_hot_session_is_split_next_to_a_collapsed_side(spark, small_skew_limits)
 def test_hot_right_side_is_split(spark, small_skew_limits):
     orders = spark.range(60_000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("l")).repartition(8)
     refunds = skewed(spark, 300_000, 250_000, "r").repartition(8)
-    joined = left_join(orders, refunds, "k", hot_rows=50_000)
+    joined = left_join(orders, refunds, "k")
     plan = executed_plan(joined.groupBy((F.col("l") + F.col("r")) % 5).count())
-    assert "Inner" in plan and "LeftOuter" in plan
+    assert "Inner" in plan and "LeftAnti" in plan and "skew=true" in plan
     assert joined.count() == orders.join(refunds, "k", "left").count()

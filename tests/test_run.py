@@ -43,8 +43,21 @@ def test_too_few_readings_fail_the_run(spark, database, tmp_path):
     for station in ("itabo_guazu", "pozuelo_puente"):
         paths[station] = str(tmp_path / f"{station}.json")
         (tmp_path / f"{station}.json").write_text(json.dumps([record(1, 2.0)]))
-    with pytest.raises(ChecksFailed, match="stg_hidro_mediciones.row_count"):
+    with pytest.raises(ChecksFailed, match="stg_hidro_mediciones.row_count") as failure:
         run(spark, from_database(spark, database), database, paths, ["sensors"])
+    outcomes = failure.value.outcomes
+    assert [row["rows"] for row in outcomes[:2]] == [1, 1]
+    assert {row["failures"] for row in outcomes[2:] if row["check"].endswith("row_count")} == {1}
+
+
+def test_a_failing_command_line_reports_everything(spark, database, tmp_path, capsys):
+    path = tmp_path / "s.json"
+    path.write_text(json.dumps([record(1, 2.0)]))
+    pairs = [f for s in ("itabo_guazu", "pozuelo_puente") for f in ("--station", f"{s}={path}")]
+    assert main(["build", "--database", database, "--select", "sensors", *pairs]) == 1
+    shown = capsys.readouterr()
+    assert shown.out.count("status='ok'") == 2 and "ERROR 1" in shown.out and "PASS" in shown.out
+    assert "stg_hidro_mediciones.row_count" in shown.err
 
 
 def test_command_line(spark, database, stations, capsys):
@@ -52,7 +65,9 @@ def test_command_line(spark, database, stations, capsys):
     assert main(["ingest", "--database", database, *pairs]) == 0
     assert "status='ok'" in capsys.readouterr().out
     assert main(["run", "--database", database, "--select", "sensors"]) == 0
-    assert spark.catalog.tableExists(f"{database}.mart_hidro_resumen")
+    other = spark.newSession()
+    assert other.table(f"{database}.mart_hidro_resumen").count() > 0
+    assert other.table(f"{database}.int_hidro_diario").count() > 0
     assert main(["test", "--database", database, "--select", "mart_hidro_calidad"]) == 0
     assert capsys.readouterr().out.count("status='pass'") == 4
 

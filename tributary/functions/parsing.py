@@ -34,7 +34,17 @@ def safe_timestamp(text: Column) -> Column:
 
 
 def safe_int(value: Column) -> Column:
-    return value.try_cast("int")
+    """Number or text to integer, NULL where it is none or does not fit.
+
+    Fractions round as in the warehouse dialect: doubles half to even, decimals and texts
+    half away from zero. The type is known when the plan is made, so one branch remains.
+    """
+    text = value.cast("string")
+    number = F.when(F.translate(text, NUMBER_CHARACTERS, "") == "", text).try_cast("decimal(38,9)")
+    binary = F.rint(value.try_cast("double")).try_cast("int")
+    return F.when(F.typeof(value).isin("double", "float"), binary).otherwise(
+        F.round(number, 0).try_cast("int")
+    )
 
 
 def json_fields(payload: Column, names: Iterable[str]) -> Column:

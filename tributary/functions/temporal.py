@@ -44,5 +44,9 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def utc_wall_clock() -> Column:
-    """The present moment as a UTC wall-clock timestamp."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    """The present moment as a UTC wall-clock timestamp, whatever the session's time zone.
+
+    Counted from the epoch: local time repeats an hour when clocks are set back.
+    """
+    seconds = (F.unix_micros(F.current_timestamp()) / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast(WALL_CLOCK) + F.make_dt_interval(secs=seconds)

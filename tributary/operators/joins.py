@@ -4,39 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key with fewer rows than this is no burden for one task. The list of hot keys
-# goes into the plan as literals, so it is bounded by MAX_HOT_KEYS.
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 100
-TRACKED_KEYS = 10_000
+from tributary.operators.aggregates import collapse, row_count
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """The heaviest values of ``key``, found in one pass over that column.
+def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join that keeps working when either side has many rows for one key.
 
-    A frequent-items sketch is built per task and merged; nothing is shuffled by key.
-    It may miss a key that barely passes ``hot_rows``. That costs time, never rows:
-    both ways of joining below give the same result.
+    Adaptive execution splits a hot partition on the left of a left join but never on its
+    right. So the rows that match come from an inner join, of which both sides can be
+    split, and the others, those without a key included, from an anti join against one
+    row per key. There is one plan for all keys, and nothing runs to define it.
     """
-    sketch = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
-    top = df.where(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
-    return [entry["item"] for entry in top if entry["count"] >= hot_rows]
-
-
-def left_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left join that keeps working when ``right`` has many rows for one key.
-
-    Adaptive execution splits a hot partition on the left of a left join but not on
-    its right. Keys that are hot on the right do occur there, so for them the left
-    join equals an inner join, of which both sides can be split. The other keys, and
-    rows without a key, take the ordinary left join.
-    """
-    hot = hot_keys(right, key, hot_rows)
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    usual = left.where(~is_hot).join(right.where(~is_hot), key, "left")
-    heavy = left.where(is_hot).join(right.where(is_hot), key, "inner")
-    return usual.unionByName(heavy)
+    matched = left.join(right, key, "inner")
+    keys = collapse(right, key, _rows=row_count()).select(key)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    unmatched = left.join(keys, key, "left_anti").select("*", *absent)
+    return matched.unionByName(unmatched)

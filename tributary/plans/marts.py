@@ -9,7 +9,7 @@ from tributary.functions.numeric import or_zero, percent, ratio, round_half_away
 from tributary.functions.temporal import month_of, weekday_from_sunday
 from tributary.operators import windows
 from tributary.operators.aggregates import collapse, count_where, row_count, sum_where
-from tributary.operators.joins import HOT_ROWS, left_join
+from tributary.operators.joins import left_join
 from tributary.operators.ordering import ordered
 from tributary.plans.staging import BASE_STATS, SENSOR_MEASURES
 
@@ -137,7 +137,9 @@ def fct_product_performance(
 
     Refunds are combined per item and month, and items per id and product, before they
     meet. An id that repeats in both tables then gives one pair per month and product
-    instead of one per row; the pair counts for as many rows as went into it. A refund
+    instead of one per row; the pair counts for as many rows as went into it. Few items
+    are refunded, so the others are left out before items are grouped: they pass one
+    exchange by id, which serves the semi-join, the grouping and the join. A refund
     belongs to the month it was paid in; months without sales are not reported.
     """
     sales = stg_order_items.groupBy(
@@ -156,7 +158,8 @@ def fct_product_performance(
         item_refunds=row_count(),
         item_amount=F.sum("refund_amount_usd"),
     )
-    sold = collapse(stg_order_items, "order_item_id", "product_id", copies=row_count())
+    refunded = stg_order_items.join(per_item, "order_item_id", "left_semi")
+    sold = refunded.groupBy("order_item_id", "product_id").agg(row_count().alias("copies"))
     refunds = (
         sold.join(per_item, "order_item_id")
         .groupBy("product_id", "order_month")
@@ -184,10 +187,7 @@ def fct_product_performance(
 
 
 def obt_orders_enriched(
-    stg_orders: DataFrame,
-    stg_sessions: DataFrame,
-    stg_refunds: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    stg_orders: DataFrame, stg_sessions: DataFrame, stg_refunds: DataFrame
 ) -> DataFrame:
     """Every order with its session and its refunds; an order repeats per match."""
     orders = stg_orders.select(
@@ -212,8 +212,8 @@ def obt_orders_enriched(
         "http_referer",
     )
     refunds = stg_refunds.select("order_id", "order_item_refund_id", "refund_amount_usd")
-    joined = left_join(orders, visits, "website_session_id", hot_rows)
-    joined = left_join(joined, refunds, "order_id", hot_rows)
+    joined = left_join(orders, visits, "website_session_id")
+    joined = left_join(joined, refunds, "order_id")
     amount = or_zero(F.col("refund_amount_usd"))
     return joined.select(
         *orders.columns,

@@ -60,6 +60,9 @@ MODELS = {
     "mart_pokemon_analytics": Model(marts.mart_pokemon_analytics, ("stg_pokemon",), True, True),
 }
 
+# Models that several others read and that are expensive to make; stored unless told otherwise.
+SHARED = ("stg_hidro_mediciones",)
+
 # Subsets that are usually built together.
 SUBSETS = {
     "catalogue_and_activity": (
@@ -124,14 +127,15 @@ def build(
     load: Loader,
     database: str,
     names: Iterable[str] | None = None,
-    keep: Iterable[str] = (),
+    keep: Iterable[str] = SHARED,
     in_order: bool = False,
 ) -> dict[str, DataFrame]:
     """Build models: marts as tables of ``database``, the others as temporary views.
 
     ``names`` restricts the build; models they depend on are computed as needed. A model
     in ``keep`` is stored although it is no mart, which pays when several marts read an
-    expensive one. What was stored here is read back by the models that follow.
+    expensive one; it also outlives the session, which a temporary view does not. What was
+    stored here is read back by the models that follow.
     """
     wanted = set(MODELS) if names is None else set(names)
     keep = set(keep)

@@ -111,7 +111,14 @@ CHECKS = (
 
 
 class ChecksFailed(Exception):
-    """A check of severity ``error`` found failures."""
+    """A check of severity ``error`` found failures.
+
+    ``outcomes`` holds all the rows of the run, those of stations and of other checks too.
+    """
+
+    def __init__(self, names: list[str], outcomes: list):
+        super().__init__(", ".join(names))
+        self.outcomes = outcomes
 
 
 def run_checks(
@@ -131,10 +138,19 @@ def summarize(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
 
 
-def enforce(results: DataFrame) -> list:
-    """Outcomes as rows, at most one per check; raise if an ``error`` check failed."""
+def enforce(results: DataFrame, before: list | None = None) -> list:
+    """Outcomes as rows, at most one per check; raise if an ``error`` check failed.
+
+    ``before`` are outcomes of earlier steps, which the error carries as well.
+    """
     rows = results.collect()
     failed = sorted(row["check"] for row in rows if row["status"] == "error")
     if failed:
-        raise ChecksFailed(", ".join(failed))
+        raise ChecksFailed(failed, [*(before or []), *rows])
     return rows
+
+
+def totals(outcomes: list) -> str:
+    """The number of checks per outcome in one line, as in ``PASS 60, WARN 3, ERROR 1``."""
+    statuses = [row["status"] for row in outcomes if "check" in row]
+    return ", ".join(f"{s.upper()} {statuses.count(s)}" for s in ("pass", "warn", "error"))

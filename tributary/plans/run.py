@@ -27,6 +27,7 @@ def check(
     load: Loader,
     names: Iterable[str] | None = None,
     built: Mapping[str, DataFrame] | None = None,
+    before: list | None = None,
 ) -> list:
     """Check models, reading those in ``built`` and defining the others over ``load``.
 
@@ -38,7 +39,8 @@ def check(
     chosen = checked if names is None else checked.intersection(names)
     if not chosen:
         return []
-    return enforce(run_checks(lambda name: built[name] if name in built else defined(name), chosen))
+    results = run_checks(lambda name: built[name] if name in built else defined(name), chosen)
+    return enforce(results, before)
 
 
 def stored(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -58,19 +60,21 @@ def run(
     stations: Mapping[str, str] | None = None,
     names: Iterable[str] | None = None,
     keep: Iterable[str] = (),
+    whole_files: bool = False,
     transform: bool = True,
     test: bool = True,
 ) -> list:
     """Ingest ``stations`` into ``database``, build models there and check them.
 
     A station that fails is reported and its previous landing table stays in use, so the
-    models are built from what there is. Returns the outcomes of stations and checks.
+    models are built from what there is. Returns the outcomes of stations and checks; if a
+    check fails the run, the error carries them.
     """
     outcomes: list = []
     if stations:
-        outcomes += load_stations(spark, stations, database).collect()
+        outcomes += load_stations(spark, stations, database, whole_files=whole_files).collect()
     chosen = None if names is None else select(names)
     built = build(spark, load, database, chosen, keep) if transform else {}
     if test:
-        outcomes += check(load, chosen, built)
+        outcomes += check(load, chosen, built, outcomes)
     return outcomes

@@ -202,8 +202,9 @@ def stg_pokemon(pokemon: DataFrame) -> DataFrame:
 def stg_hidro_mediciones(*stations: DataFrame) -> DataFrame:
     """Readings of all stations, one landing table per argument.
 
-    The payload is parsed once per row and the timestamp once; both are materialized
-    by a projection of their own before anything is derived from them.
+    The payload is parsed once per row, by a projection of its own before anything is
+    derived from it. The timestamp is parsed twice: below, to leave rows without one out
+    before their payload is parsed, and again for the rows that stay.
     """
     landing = ("station_name", "measurement_ts", "raw_payload", "extracted_at")
     readings = stations[0].select(*landing)

@@ -7,6 +7,7 @@ written, so fields nobody declared stay in ``raw_payload``.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,13 +18,10 @@ from tributary.sources.sinks import full_refresh
 LANDING_SCHEMA = (
     "station_name string, measurement_ts string, raw_payload string, extracted_at timestamp_ntz"
 )
-# Fields of a sensor record. Measures are VARIANT: a sensor may send text.
-RECORD_SCHEMA = (
-    "fecha string, nivel variant, conductividad variant, ph variant, turbidez variant, "
-    "od variant, tempagua variant"
-)
 # Fixed value: field that wraps the list of records in an envelope.
 ENVELOPE = "results"
+# Stations whose jobs run side by side.
+STATIONS_AT_ONCE = 4
 
 
 def read_landing_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -38,12 +36,13 @@ def read_landing_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """One VARIANT column ``record`` with a row per record.
 
-    ``whole_files=False`` reads a JSON value per line, which splits and scales freely.
-    ``whole_files=True`` reads one value per file: a file, compressed or not, is then
-    one task's work and must fit a VARIANT value (128 MB).
+    ``whole_files=False`` reads a JSON value per line. Uncompressed files then split, and
+    size is no limit. ``whole_files=True`` reads one value per file, over several lines if
+    need be: such a file is one task's work, is held in that task's memory and must fit a
+    VARIANT value (128 MB of it). So must each line otherwise.
 
     A value is a list of records, an object wrapping the list in ``results``, or a
-    single record.
+    single record. An object whose ``results`` is no list is an error.
     """
     values = (
         spark.read.option("singleVariantColumn", "value")
@@ -57,10 +56,15 @@ def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> D
 
 def _unwrapped(value: Column) -> Column:
     """The records in one JSON value; a value that is no list does not convert to one."""
-    in_list, in_envelope = (
-        F.try_variant_get(value, path, "array<variant>") for path in ("$", f"$.{ENVELOPE}")
+    inside = f"$.{ENVELOPE}"
+    in_list, in_envelope = (F.try_variant_get(value, path, "array<variant>") for path in ("$", inside))
+    is_envelope = F.try_variant_get(value, inside, "variant").isNotNull()
+    no_list = F.raise_error(F.lit(f"{ENVELOPE} is not a list")).cast("array<variant>")
+    return (
+        F.when(in_list.isNotNull(), in_list)
+        .when(is_envelope, F.coalesce(in_envelope, no_list))
+        .otherwise(F.array(value))
     )
-    return F.coalesce(in_list, in_envelope, F.array(value))
 
 
 def _object_or_error(record: Column) -> Column:
@@ -69,30 +73,6 @@ def _object_or_error(record: Column) -> Column:
     return F.when(is_object, record).otherwise(F.raise_error(F.lit("a record is not an object")))
 
 
-def read_typed_records(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA) -> DataFrame:
-    """Records of whole-file JSON with the declared fields only.
-
-    For files beyond the size of a VARIANT value. The same three layouts are understood:
-    the reader spreads a top-level list itself, the envelope is one more field.
-    """
-    outer = f"{schema}, {ENVELOPE} array<struct<{_as_struct(schema)}>>"
-    rows = (
-        spark.read.schema(outer)
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
-    fields = [name for name in rows.columns if name != ENVELOPE]
-    single = F.array(F.struct(*fields))
-    records = F.coalesce(F.col(ENVELOPE), single)
-    return rows.select(F.explode(records).alias("r")).select("r.*")
-
-
-def _as_struct(schema: str) -> str:
-    pairs = (field.split() for field in schema.split(","))
-    return ", ".join(f"{name}: {kind}" for name, kind in pairs)
-
-
 def to_landing(records: DataFrame, station: str, loaded_at: Column | None = None) -> DataFrame:
     """Shape records for the landing table; the load time is the same for all rows."""
     record = F.col("record")
@@ -104,43 +84,40 @@ def to_landing(records: DataFrame, station: str, loaded_at: Column | None = None
     )
 
 
-def typed_to_landing(records: DataFrame, station: str, loaded_at: Column | None = None) -> DataFrame:
-    """``to_landing`` for typed records; absent fields are written as JSON nulls."""
-    payload = F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"})
-    return records.select(
-        F.lit(station).alias("station_name"),
-        F.col("fecha").alias("measurement_ts"),
-        payload.alias("raw_payload"),
-        (utc_wall_clock() if loaded_at is None else loaded_at).alias("extracted_at"),
-    )
-
-
 def load_stations(
     spark: SparkSession,
     paths: Mapping[str, str],
     database: str,
     loaded_at: Column | None = None,
-    whole_files: bool = True,
-    declared_only: bool = False,
+    whole_files: bool = False,
 ) -> DataFrame:
     """Load each station's files into its landing table; report every outcome.
 
-    A station that cannot be read keeps the table it had and does not stop the others.
-    ``declared_only`` reads whole files of any size, without undeclared fields.
-    The result has one row per station: station, status, rows, error.
+    Several stations load at once, so that one with few files does not leave the cluster
+    idle. A station that cannot be read keeps the table it had and does not stop the
+    others. The result has one row per station: station, status, rows, error.
     """
-    outcomes = []
-    for station, path in paths.items():
+
+    def load(station: str, path: str) -> tuple:
         try:
-            if declared_only:
-                landing = typed_to_landing(read_typed_records(spark, path), station, loaded_at)
-            else:
-                landing = to_landing(read_records(spark, path, whole_files), station, loaded_at)
-            table = f"{database}.hidro_estacion_{station}"
-            rows = full_refresh(landing, table, keep_if_empty=True)
-            outcomes.append((station, "ok", rows, None))
+            landing = to_landing(read_records(spark, path, whole_files), station, loaded_at)
+            rows = full_refresh(landing, f"{database}.hidro_estacion_{station}", keep_if_empty=True)
+            return station, "ok", rows, None
         except Exception as problem:  # whatever stops one station is that station's outcome
-            outcomes.append((station, "failed", None, str(problem).split("\n\tat ")[0]))
+            return station, "failed", None, _explained(str(problem))
+
+    with ThreadPoolExecutor(max_workers=STATIONS_AT_ONCE) as pool:
+        outcomes = list(pool.map(load, paths.keys(), paths.values()))
     return spark.createDataFrame(
         outcomes, "station string, status string, rows long, error string"
     )
+
+
+def _explained(problem: str) -> str:
+    """The error without its trace, and the remedy where a file's layout is the cause."""
+    error = problem.split("\n\tat ")[0]
+    if "VARIANT" in problem and "SIZE_LIMIT" in problem:
+        return f"a JSON value is too large; write one record per line: {error}"
+    if "MALFORMED" in problem:
+        return f"no JSON value per line, or per file with whole_files: {error}"
+    return error

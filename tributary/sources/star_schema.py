@@ -205,8 +205,11 @@ def pokemon(embeddings: DataFrame) -> DataFrame:
     number, label = F.col("vec_id"), F.col("label")
 
     def stat(place: int) -> Column:
-        part = F.get(F.col("embedding"), F.lit(place)).cast("double")
-        return F.struct(F.floor(F.abs(part) * 1000).cast("int").alias("base_stat"))
+        """Components place, place + 6, ... in thousandths, as one of six stats."""
+        parts = F.filter("embedding", lambda _, at: at % 6 == place)
+        sizes = F.transform(parts, lambda x: F.floor(F.abs(x.cast("double")) * 1000))
+        total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b)
+        return F.struct((total / 10).cast("int").alias("base_stat"))
 
     def kind(at: Column) -> Column:
         name = F.get(F.array(*[F.lit(k) for k in KINDS]), at.cast("int"))
