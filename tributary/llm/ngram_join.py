@@ -27,7 +27,7 @@ from tributary.llm.words import Words, ngrams, text_slices
 from tributary.sources.scratch import stored
 
 #: Counters of n-gram frequency: 2**SKETCH_BITS, whatever the corpus.
-SKETCH_BITS = 15
+SKETCH_BITS = 17
 #: Bounds of a tile of a block: classes, and n-grams in their sets.
 TILE_DOCS = 1_000
 TILE_GRAMS = 2_000_000
