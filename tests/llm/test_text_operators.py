@@ -272,6 +272,42 @@ def test_training_adds_likely_spans_and_keeps_the_base(documents):
     assert empty.trees == () and pii.find(spelled, empty)[1] == []
 
 
+def test_spans_inside_failed_matches_are_found(documents):
+    rng = random.Random(3)
+
+    def card():
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return digits + next(d for d in "0123456789" if pii.luhn(digits + d))
+
+    def fails(number):
+        return number[:-1] + str((int(number[-1]) + 1) % 10)
+
+    def phone():
+        return f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+
+    def ip():
+        return ".".join(str(rng.randrange(1, 256)) for _ in range(4))
+
+    texts = [f"pay with {card()} or {fails(card())} now, call {phone()} soon, at host {ip()} or {ip()} too" for _ in range(300)]
+    texts += [f"write to some.one{rng.randrange(100)}@mail{rng.randrange(10)}.example.com about it" for _ in range(300)]
+    model = pii.train(documents(list(enumerate(texts))))
+
+    def found(text):
+        base, every = pii.find(text, model)
+        assert base == base_by_hand(text) and set(base) <= set(every)
+        return {(kind, text[start:end]) for kind, start, end in every}
+
+    a, b = "7536784127813050", "4845168114407329"
+    assert found(f"see {a} {b} there") == {("card", a), ("card", b)}
+    assert found(f"see {a} {fails(b)} there") == {("card", a)}
+    near = "+1 (843) 555-7672", "170.106.47.218"
+    assert found(f"call {near[0]} {near[1]} there") == {("phone", near[0]), ("ip", near[1])}
+    assert found(f"call {near[0]}.{near[1]} there") == {("phone", near[0]), ("ip", near[1])}
+    assert found("call 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 there") == set()
+    spelled = "to some.one AT mail3 DOT example (Dot) com."
+    assert [spelled[s:e] for kind, s, e in pii.loose_matches(spelled) if kind == "email"] == [spelled[3:-1]]
+
+
 def test_redaction_keeps_the_rest(documents):
     rows = [(1, "to a@b.cc, +1 (555) 555-1234."), (2, None), (3, "")]
     got = {r.doc_id: r.text for r in pii.redact(documents(rows), FLAT).collect()}
