@@ -7,10 +7,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm import line_dedup, ngram_join, packing, pii, quality_classifier, vector_index
 from tributary.llm.components import components
+from tributary.llm.sampling import hashed_sample
 
 FLAT = pii.Model(0.0, (), {})
 
@@ -402,6 +404,20 @@ def test_classifier_ranks_held_out_texts(spark):
     assert all(np.allclose(a, b) for a, b in zip(again.weights, model.weights))
 
 
+def test_samples_hold_one_row_of_a_group_of_copies(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, k * 7) for k in range(1_000)], "k long, v long")
+    first = hashed_sample(rows, 50, "k")
+    hot = spark.createDataFrame([(first[0].k, v) for v in range(500, -1, -1)], "k long, v long")
+    sample = hashed_sample(rows.union(hot), 50, "k")
+    assert [r.k for r in sample] == [r.k for r in first] and 30 <= len(sample) <= 50
+    assert sample[0].v == 0 and [r.v for r in sample[1:]] == [r.v for r in first[1:]]
+    fitted = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda positive, unlabelled, prior: fitted.append((len(positive), len(unlabelled))))
+    docs = rows.union(rows).union(hot).select(F.col("k").alias("doc_id"), F.concat(F.lit("text "), F.col("v").cast("string")).alias("text"))
+    quality_classifier.train(docs, rows.select(F.col("k").alias("doc_id"), F.lit(1).alias("quality")), max_positive=40, max_unlabelled=60)
+    assert 20 <= fitted[0][0] <= 40 and 30 <= fitted[0][1] <= 60
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs = spark.createDataFrame([(i, f"some text {i}") for i in range(100)], "doc_id long, text string")
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0]

@@ -178,7 +178,8 @@ def train(
     """Fit a model outside the held-out fold.
 
     The positives are up to ``max_positive`` documents labelled 1, the unlabelled texts up
-    to ``max_unlabelled`` documents of any kind, each chosen by the hash of their id. The class prior is estimated by the share of 1 among all labels outside the
+    to ``max_unlabelled`` documents of any kind, each chosen by the hash of their id; of rows
+    that repeat an id, the one with the smallest features stands for it. The class prior is estimated by the share of 1 among all labels outside the
     held-out fold. The two id lists have that documented bound; they are what is
     broadcast, and their features are what comes to the driver.
     """
@@ -189,7 +190,7 @@ def train(
     prior = 0.5 if prior is None else float(prior)
 
     def smallest(rows: DataFrame, limit: int) -> DataFrame:
-        picked = hashed_sample(rows.select("id").distinct(), limit, "id")
+        picked = hashed_sample(rows.select("id"), limit, "id")
         return spark.createDataFrame([(row.id,) for row in picked], rows.select("id").schema)
 
     ids = docs.select(F.col(id_col).alias("id")).where(fold("id") != 0)
@@ -206,7 +207,9 @@ def train(
             yield pa.RecordBatch.from_arrays([batch["id"], batch["p"], batch["u"], flat], names=["id", "p", "u", "x"])
 
     kind = dict(texts.dtypes)["id"]
-    rows = sample.mapInArrow(measure, f"id {kind}, p boolean, u boolean, x array<float>").toPandas()
+    measured = sample.mapInArrow(measure, f"id {kind}, p boolean, u boolean, x array<float>")
+    # One row per id, combined map-side: an id that many rows repeat counts once.
+    rows = measured.groupBy("id", "p", "u").agg(F.min("x").alias("x")).toPandas()
     rows = rows.assign(bytes_=[np.asarray(x, np.float32).tobytes() for x in rows["x"]]).sort_values(["id", "bytes_"])
     matrix = np.array(list(rows["x"]), np.float32).reshape(-1, len(FEATURES))
     is_p, is_u = (rows["p"] == True).to_numpy(bool), (rows["u"] == True).to_numpy(bool)  # noqa: E712
