@@ -458,6 +458,14 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     assert vector_index.near_vectors(df.limit(0)).count() == 0
 
 
+def test_small_groups_count_beside_a_hot_one():
+    turn = lambda degrees: [np.cos(np.radians(degrees)), np.sin(np.radians(degrees)), 0.0, 0.0]
+    sample = np.array([turn(0)] * 510 + [turn(40), turn(50)] + [turn(0)] * 90)
+    index = vector_index.MultiIndex(np.eye(2), np.zeros((1, 2)), 0.0)
+    a, b = index.distances(sample[510:512])
+    assert vector_index.linked_reach(index, sample, 0.95, 0.999) == pytest.approx(a[0, 1] + b[0, 0])
+
+
 def test_traversal_visits_cells_by_distance():
     rng = np.random.default_rng(3)
     a, b = rng.random(5), rng.random(7)

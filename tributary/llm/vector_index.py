@@ -121,22 +121,37 @@ def fit_index(sample: np.ndarray, min_cosine: float = MIN_COSINE, recall: float
     noise -= (noise * sample).sum(1)[:, None] * sample
     size = np.linalg.norm(noise, axis=1, keepdims=True)
     edge = min_cosine * sample + np.sqrt(max(0.0, 1 - min_cosine**2)) * noise / np.maximum(size, 1e-12)
-    asked, cells = [sample], [index.cells(edge)]
-    own = index.cells(sample)
-    for begin in range(0, min(len(sample), 2_048), 512):
-        x, y = np.nonzero(sample[begin : begin + 512] @ sample.T >= min_cosine)
-        x, y = (x + begin)[: 1 << 18], y[: 1 << 18]
-        asked.append(sample[x])
-        cells.append(own[y])
-    reach = 0.0
-    for vectors, found in zip(asked, cells):
-        if len(vectors):
-            a, b = index.distances(vectors)
-            rows = np.arange(len(vectors))
-            reach = max(reach, float(np.quantile(a[rows, found // len(second)] + b[rows, found % len(second)], recall)))
+    reach = linked_reach(index, sample, min_cosine, recall)
+    if len(sample):
+        a, b = index.distances(sample)
+        rows, found = np.arange(len(sample)), index.cells(edge)
+        reach = max(reach, float(np.quantile(a[rows, found // len(second)] + b[rows, found % len(second)], recall)))
     return MultiIndex(first, second, reach + 1e-9)
 
 
+def linked_reach(index: MultiIndex, sample: np.ndarray, min_cosine: float, recall: float) -> float:
+    """The quantile of the distances from sample vectors to the cells of those linked to them.
+
+    All linked pairs of the first 2048 vectors with the sample count, in blocks of 512
+    vectors, of which the farthest reach is taken. A pair weighs one over the pairs of its
+    vector, so that a large group of near-copies does not outweigh small ones.
+    """
+    own, width, reach = index.cells(sample), len(index.second), 0.0
+    for begin in range(0, min(len(sample), 2_048), 512):
+        block = sample[begin : begin + 512]
+        near = block @ sample.T >= min_cosine
+        near[np.arange(len(block)), np.arange(len(block)) + begin] = False
+        x, y = np.nonzero(near)
+        if len(x):
+            a, b = index.distances(block)
+            away = a[x, own[y] // width] + b[x, own[y] % width]
+            order = np.argsort(away)
+            weight = np.cumsum((1 / near.sum(1)[x])[order])
+            place = np.searchsorted(weight, recall * weight[-1])
+            reach = max(reach, float(away[order[min(place, len(order) - 1)]]))
+    return reach
+
+
 def unit_vectors(binary: list[bytes]) -> np.ndarray:
     rows = np.array([np.frombuffer(x, "<f8") for x in binary])
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
