@@ -458,6 +458,15 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     assert vector_index.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_every_length_are_linked(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(20)]
+    rows += [(100, [1.0, 2.0]), (101, [1.0, 2.0]), (102, [1.0, 2.1]), (103, [2.0, -1.0]), (104, [3.0]), (105, [4.0]), (106, [1.0, 2.0, 3.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert {i: got[i] for i in range(100, 107)} == {100: (2, 100), 101: (2, 100), 102: (2, 100), 103: (0, 103), 104: (1, 104), 105: (1, 104), 106: (0, 106)}
+    assert len(got) == len(rows)
+
+
 def test_small_groups_count_beside_a_hot_one():
     turn = lambda degrees: [np.cos(np.radians(degrees)), np.sin(np.radians(degrees)), 0.0, 0.0]
     sample = np.array([turn(0)] * 510 + [turn(40), turn(50)] + [turn(0)] * 90)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tributary.llm.components import components
@@ -161,7 +162,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """(vec_id, n_links, component_id, kept) of each row.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
-    nothing, and so do those whose length is not the most common one. Equal vectors are
+    nothing. Vectors of different lengths do not link either; each length that two or more
+    distinct vectors have gets an index of its own, one after the other. Equal vectors are
     one class, which is compared once and counts as often as it occurs. A pair counts for
     both sides if either visits the other's cell; none below the bound counts. Rows
     without an id are counted as links of others but have no component of their own name
@@ -176,27 +178,27 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), value.alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("v", F.when(F.coalesce(sound, F.lit(False)), F.col("v")))
-    lengths = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    dim = lengths.d if lengths else 0
-    rows = rows.withColumn("key", F.when(F.size("v") == dim, F.sha2(F.to_json(F.struct("v")), 256)))
+    rows = rows.withColumn("key", F.when(F.col("v").isNotNull(), F.sha2(F.to_json(F.struct("v")), 256)))
     classes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m"), F.any_value("v").alias("v"))
-    classes = classes.withColumn("node", F.xxhash64("key"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if dim else np.empty((0, 0))
-            raw = [row.astype("<f8").tobytes() for row in values]
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["rep"], batch["m"], pa.array(raw, pa.binary())], names=["key", "rep", "m", "v"])
-
-    classes = stored(classes.select("key", "rep", "m", "v").mapInArrow(pack, "key string, rep long, m long, v binary"), "vectors")
-    sample = hashed_sample(classes.select("key", "v"), SAMPLE, "key")
-    if sample:
-        size = max(4, round(math.sqrt(classes.count() / PER_CELL)))
+            lengths = pc.list_value_length(batch["v"]).to_numpy(zero_copy_only=False)
+            values = batch["v"].flatten().to_numpy(zero_copy_only=False).astype("<f8")
+            raw = [row.tobytes() for row in np.split(values, np.cumsum(lengths)[:-1])] if len(lengths) else []
+            arrays = [batch["key"], batch["rep"], batch["m"], pa.array(lengths.astype(np.int32)), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "rep", "m", "d", "v"])
+
+    classes = stored(classes.select("key", "rep", "m", "v").mapInArrow(pack, "key string, rep long, m long, d int, v binary"), "vectors")
+    found = spark.createDataFrame([], "key string, links long, other string")
+    # One row per length that occurs more than once.
+    for length in classes.groupBy("d").count().where("count > 1").orderBy("d").collect():
+        own = classes.where(F.col("d") == length.d)
+        sample = hashed_sample(own.select("key", "v"), SAMPLE, "key")
+        size = max(4, round(math.sqrt(length["count"] / PER_CELL)))
         fitted = fit_index(unit_vectors([r.v for r in sample]), min_cosine, recall, min(size, MAX_CODEWORDS))
         index = spark.sparkContext.broadcast(fitted)
-        found = stored(_compare(classes, index, min_cosine), "near")
-    else:
-        found = spark.createDataFrame([], "key string, links long, other string")
+        found = found.unionByName(stored(_compare(own, index, min_cosine), "near"))
     # Links are between the smallest ids of classes; those without any take no part in them.
     ids = classes.where("rep is not null").select("key", "rep")
     a, b = ids.select("key", F.col("rep").alias("a")), ids.select(F.col("key").alias("other"), F.col("rep").alias("b"))
