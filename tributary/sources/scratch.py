@@ -32,15 +32,28 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, replaces: DataFrame | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the stages before.
+    ``replaces`` is a frame this function returned earlier that nobody reads any more, as
+    the last round of an iteration; its files go once the new ones are complete.
     """
     spark = df.sparkSession
     folder = scratch_dir(spark, purpose)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    found = spark.read.schema(df.schema).parquet(folder)
+    found.scratch_folder = folder
+    if replaces is not None:
+        discard(replaces)
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame that ``stored`` returned; other frames are left alone."""
+    folder = getattr(df, "scratch_folder", None)
+    if folder is not None:
+        _remove(df.sparkSession, folder)
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
