@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from tributary.llm import (
     bpe_codec,
+    centroid_clustering,
+    conversation_repair,
+    language_id,
     line_dedup,
     ngram_join,
     packing,
@@ -26,6 +29,9 @@ LLM_QUERIES = {
     "op8_line_dedup": line_dedup.query,
     "op9_url_filters": url_filters.query,
     "op10_warc_archive": warc_archive.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_language_id": language_id.query,
+    "op13_centroid_clustering": centroid_clustering.query,
 }
 
 LLM_ORACLE = {
@@ -33,4 +39,5 @@ LLM_ORACLE = {
     "op8_line_dedup": line_dedup.ORACLE_SQL,
     "op9_url_filters": url_filters.ORACLE_SQL,
     "op10_warc_archive": warc_archive.ORACLE_SQL,
+    "op13_centroid_clustering": centroid_clustering.ORACLE_SQL,
 }
