@@ -2,6 +2,8 @@
 
 import gzip
 import json
+import random
+import tracemalloc
 
 import pytest
 from conftest import ts, values
@@ -13,7 +15,7 @@ from tributary.sources.ingest import (
     read_records,
     to_landing,
 )
-from tributary.sources import scratch
+from tributary.sources import json_stream, scratch
 from tributary.sources.scratch import scratch_dir
 from tributary.sources.sinks import append, full_refresh
 
@@ -77,6 +79,93 @@ def test_one_load_time_for_all_rows(spark, tmp_path):
     assert landing.select("extracted_at").distinct().count() == 1
 
 
+def cut(text, fragments=1):
+    """The text as it comes from the reader: pieces without the cuts between them."""
+    parts = text.split(json_stream.CUT)
+    return (json_stream.CUT.join(parts[at : at + fragments]) for at in range(0, len(parts), fragments))
+
+
+@pytest.mark.parametrize("fragments", [1, 2, 7, 1000])
+def test_records_are_cut_out_of_pieces(fragments):
+    choose = random.Random(3)
+    strings = ["", "a,b", ',"', "\\", '[{"', "é\n", "]}", "x" * 50]
+    value = lambda deep: choose.choice([
+        1, -2.5e3, None, True, choose.choice(strings),
+        *([[value(deep - 1) for _ in range(3)], {choose.choice(strings): value(deep - 1), "k": [], "e": {}}] if deep else []),
+    ])
+    for _ in range(200):
+        rows = [{f"f{n}": value(3) for n in range(choose.randint(0, 4))} for _ in range(choose.randint(0, 6))]
+        indent = choose.choice([None, 1])
+        for payload, expected in (
+            (rows, rows), ({"n": [1, 2], "results": rows, "next": None}, rows), ({"a": rows}, [{"a": rows}]),
+        ):
+            text = json.dumps(payload, indent=indent) + choose.choice(["", "\n "])
+            found = [json.loads(record) for record in json_stream.records(cut(text, fragments))]
+            assert found == expected
+            if text.rstrip()[-1] in "]}":
+                whole = text.rstrip()
+                with pytest.raises(ValueError, match="malformed|not an object"):
+                    list(json_stream.records(cut(whole[: choose.randint(1, len(whole) - 1)], fragments)))
+                with pytest.raises(ValueError, match="malformed"):
+                    list(json_stream.records(cut(whole + choose.choice(["]", ",", "{}"]), fragments)))
+
+
+def test_a_large_array_is_read_in_bounded_memory():
+    record = json.dumps({"fecha": "2024-01-01", "nota": "x" * 300, "valores": [1, 2, 3]})
+
+    def pieces():
+        yield "["
+        body = record.removeprefix("{")
+        for _ in range(299):
+            yield "{".join([body + ","] * 1000)
+        yield "{".join([body + ","] * 999)
+        yield body + "]"
+
+    tracemalloc.start()
+    count = sum(1 for _ in json_stream.records(pieces()))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert count == 300_000 and peak < 8 << 20  # of more than 100 MB
+
+
+@pytest.mark.parametrize("envelope", [False, True])
+def test_an_array_file_beyond_a_variant_value(spark, tmp_path, database, envelope):
+    path = tmp_path / "s.json.gz"
+    record = json.dumps({"fecha": "2024-01-01 00:00:00 PYST", "nivel": 1.5, "nota": "x{ y" * 10, "a": "a" * 10_000})
+    with gzip.open(path, "wt", compresslevel=1) as file:
+        file.write('{"next": null, "results": [' if envelope else "[")
+        for n in range(150):
+            file.write((", " if n else "") + ",\n".join([record] * 100))
+        file.write("]}" if envelope else "]")
+    assert load_stations(spark, {"s": str(path)}, database, whole_files=True).first().rows == 15_000
+    # A file that ends too early fails its station, whether the archive or the JSON is cut.
+    whole = path.read_bytes()
+    path.write_bytes(whole[: len(whole) // 2])
+    short = write(tmp_path / "t.json.gz", "[" + record)
+    outcome = load_stations(spark, {"s": str(path), "t": short}, database, whole_files=True)
+    assert [row.status for row in outcome.collect()] == ["failed", "failed"]
+    assert "malformed JSON" in outcome.where("station = 't'").first().error
+    assert spark.table(f"{database}.hidro_estacion_s").count() == 15_000
+
+
+def test_files_read_in_parts_keep_their_order(spark, tmp_path):
+    """Several files, cut into parts of a few kilobytes each by the reader."""
+    expected = []
+    for name, count in (("a.json", 3000), ("b.json.gz", 500), ("c.json", 1), ("d.json", 2000)):
+        rows = [{"fecha": f"{name} {n}", "lista": [n, {"k": "},{"}]} for n in range(count)]
+        write(tmp_path / name, json.dumps(rows, indent=1))
+        expected += [row["fecha"] for row in rows]
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "8k")
+    try:
+        landing = to_landing(read_records(spark, str(tmp_path), whole_files=True), "s")
+        assert landing.rdd.getNumPartitions() > 1
+        assert sorted(row.measurement_ts for row in landing.collect()) == sorted(expected)
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_landing_lines(spark, tmp_path):
     line = {
         "station_name": "s", "measurement_ts": "2024-01-01", "raw_payload": RECORDS[0],

@@ -12,14 +12,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.functions.temporal import utc_wall_clock
+from tributary.sources.json_stream import ENVELOPE, read_json_files
 from tributary.sources.sinks import full_refresh
 
 # Layout of a landing table.
 LANDING_SCHEMA = (
     "station_name string, measurement_ts string, raw_payload string, extracted_at timestamp_ntz"
 )
-# Fixed value: field that wraps the list of records in an envelope.
-ENVELOPE = "results"
 # Stations whose jobs run side by side.
 STATIONS_AT_ONCE = 4
 
@@ -37,19 +36,17 @@ def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> D
     """One VARIANT column ``record`` with a row per record.
 
     ``whole_files=False`` reads a JSON value per line. Uncompressed files then split, and
-    size is no limit. ``whole_files=True`` reads one value per file, over several lines if
-    need be: such a file is one task's work, is held in that task's memory and must fit a
-    VARIANT value (128 MB of it). So must each line otherwise.
+    a line must fit a VARIANT value (128 MB of it). ``whole_files=True`` reads one value per
+    file, over several lines if need be: such a file is read from start to end by one task,
+    may have any size, and only each record must fit a VARIANT value.
 
     A value is a list of records, an object wrapping the list in ``results``, or a
     single record. An object whose ``results`` is no list is an error.
     """
-    values = (
-        spark.read.option("singleVariantColumn", "value")
-        .option("multiLine", whole_files)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
+    if whole_files:
+        texts = read_json_files(spark, path)
+        return texts.select(_object_or_error(F.parse_json("json")).alias("record"))
+    values = spark.read.option("singleVariantColumn", "value").option("mode", "FAILFAST").json(path)
     records = values.select(F.explode(_unwrapped(F.col("value"))).alias("record"))
     return records.select(_object_or_error(F.col("record")).alias("record"))
 
