@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Number of sub-buckets used by ``collapse``. It only has to differ from one.
@@ -22,9 +25,11 @@ def sum_where(value: Column, condition: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(0))
 
 
-def collapse(df: DataFrame, key: str, *others: str, **totals: Column) -> DataFrame:
+def collapse(df: DataFrame, key: str | Sequence[str], *others: str, **totals: Column) -> DataFrame:
     """One row per ``key`` (and ``others``) as the side of a later join on ``key``.
 
+    A key may be several columns; rows with a null in it are left out.
+
     Rows of a hot key are combined map-side, so the result has no hot key and the
     join cannot pair up two large groups.
 
@@ -35,7 +40,9 @@ def collapse(df: DataFrame, key: str, *others: str, **totals: Column) -> DataFra
     join are plain exchanges; straight on top of an aggregate it leaves them whole.
     The exchange moves the combined rows only, which are the smaller side.
     """
-    bucket = F.pmod(F.hash(key), F.lit(BUCKETS))
-    keyed = df.where(F.col(key).isNotNull()).withColumn("_bucket", bucket)
-    grouped = keyed.groupBy(key, *others, "_bucket")
+    keys = [key] if isinstance(key, str) else list(key)
+    bucket = F.pmod(F.hash(*keys), F.lit(BUCKETS))
+    known = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+    keyed = df.where(known).withColumn("_bucket", bucket)
+    grouped = keyed.groupBy(*keys, *others, "_bucket")
     return grouped.agg(*[value.alias(name) for name, value in totals.items()]).drop("_bucket")
