@@ -90,73 +90,63 @@ def foreign_values(df: DataFrame, check: Check) -> DataFrame:
     return marked.groupBy(check.column).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def _marked(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """(number of the check, value) for every row a check marks."""
-    pairs = []
-    for number, check in checks:
-        by_value = check.counts in (VALUES, REPEATS)
-        value = F.col(check.column).cast("string") if by_value else F.lit(None).cast("string")
-        pair = F.struct(F.lit(number).alias("number"), value.alias("value"))
-        pairs.append(F.when(check.marks(), pair))
-    rows = df.select(F.explode(F.array(*pairs)).alias("pair"))
-    return rows.where(F.col("pair").isNotNull()).select("pair.*")
+def _counted(check: Check) -> Column:
+    """Failures of one rule over the whole table, unless it counts repeated values."""
+    if check.counts == TABLE:
+        # The count is of all rows, so that it has a value for an empty table as well.
+        return F.when(F.count(F.lit(1)).between(check.low, check.high), 0).otherwise(1).cast("long")
+    if check.counts == VALUES:
+        return F.count_distinct(F.when(check.marks(), F.col(check.column)))
+    return F.count(F.when(check.marks(), 1))
 
 
-def outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Failures of all ``checks`` from a single scan of each table.
+def _row_rules(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """(number, failures) of rules that one conditional aggregate counts, in one scan.
 
-    Each row is turned into (check, value) pairs for the checks that mark it. Counting
-    the pairs combines them map-side, so a frequent value is no burden; the counts are
-    then reduced per check. All tables share the two exchanges.
+    Each task sends one row of counts, and the foreign values it met beside it.
     """
-    numbered = list(enumerate(checks))
-    marked = [
-        _marked(df, [(number, check) for number, check in numbered if check.table == name])
-        for name, df in tables.items()
-    ]
-    counted = (
-        reduce(DataFrame.unionByName, marked)
-        .groupBy("number", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    per_check = counted.groupBy("number").agg(
-        F.sum("n").alias(ROWS),
-        F.count(F.lit(1)).alias(VALUES),
-        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias(REPEATS),
-    )
-    return _with_settings(per_check, checks)
+    counts = df.agg(*[_counted(check).alias(f"failures_{number}") for number, check in checks])
+    pairs = [F.struct(F.lit(number).alias("number"), F.col(f"failures_{number}").alias("failures")) for number, _ in checks]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
-def _float(limit: float | None) -> float | None:
-    return None if limit is None else float(limit)
+def _repeats(df: DataFrame, number: int, check: Check) -> DataFrame:
+    """(number, failures) of a rule on repeated values: a scan of one column, in its own type."""
+    counted = df.where(check.marks()).groupBy(check.column).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.lit(number).alias("number"), F.count(F.when(F.col("n") > 1, 1)).alias("failures"))
 
 
-def _with_settings(per_check: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check, including those that marked no row."""
-    spark = per_check.sparkSession
+def outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """Failures of all ``checks``: one aggregate per table, and one more per rule on repeats.
+
+    Rules on rows, on the number of rows and on foreign values of a table are counted
+    together while it is scanned once. What a column repeats is grouped by that column
+    alone; counts are combined map-side, so a frequent value is no burden.
+    """
+    found = []
+    for name, df in tables.items():
+        own = [(number, check) for number, check in enumerate(checks) if check.table == name]
+        plain = [(number, check) for number, check in own if check.counts != REPEATS]
+        if plain:
+            found.append(_row_rules(df, plain))
+        found += [_repeats(df, number, check) for number, check in own if check.counts == REPEATS]
+    return _with_settings(reduce(DataFrame.unionByName, found), checks)
+
+
+def _with_settings(found: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check with its settings and outcome."""
+    spark = found.sparkSession
     settings = spark.createDataFrame(
-        [
-            (number, c.name, c.table, c.column, c.severity, c.counts, _float(c.low), _float(c.high))
-            for number, c in enumerate(checks)
-        ],
-        "number int, check string, model string, column_name string, severity string, "
-        "counts string, low double, high double",
-    )
-    found = {kind: F.coalesce(F.col(kind), F.lit(0)) for kind in (ROWS, VALUES, REPEATS)}
-    in_range = found[ROWS].between(F.col("low"), F.col("high"))
-    failures = (
-        F.when(F.col("counts") == TABLE, F.when(in_range, 0).otherwise(1))
-        .when(F.col("counts") == VALUES, found[VALUES])
-        .when(F.col("counts") == REPEATS, found[REPEATS])
-        .otherwise(found[ROWS])
-        .cast("long")
+        [(number, c.name, c.table, c.column, c.severity) for number, c in enumerate(checks)],
+        "number int, check string, model string, column_name string, severity string",
     )
-    # Both sides have at most one row per check: a few dozen.
-    return settings.join(F.broadcast(per_check), "number", "left").select(
+    failures = F.col("failures")
+    # Both sides have one row per check: a few dozen.
+    return settings.join(F.broadcast(found), "number").select(
         "check",
         "model",
         "column_name",
         "severity",
-        failures.alias("failures"),
+        "failures",
         F.when(failures == 0, "pass").otherwise(F.col("severity")).alias("status"),
     )
