@@ -204,18 +204,20 @@ def pull_requests(lineitem: DataFrame) -> DataFrame:
 def pokemon(embeddings: DataFrame) -> DataFrame:
     number, label = F.col("vec_id"), F.col("label")
 
-    def stat(place: int) -> Column:
+    size = F.size("embedding")
+
+    def stat(place: Column) -> Column:
         """Components place, place + 6, ... in thousandths, as one of six stats."""
-        parts = F.filter("embedding", lambda _, at: at % 6 == place)
-        sizes = F.transform(parts, lambda x: F.floor(F.abs(x.cast("double")) * 1000))
-        total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b)
+        places = F.sequence(place, F.greatest(place, size - 1), F.lit(6))
+        part = lambda at: F.floor(F.abs(F.get("embedding", at).cast("double")) * 1000)
+        total = F.aggregate(places, F.lit(0).cast("long"), lambda sum_, at: sum_ + F.coalesce(part(at), F.lit(0)))
         return F.struct((total / 10).cast("int").alias("base_stat"))
 
     def kind(at: Column) -> Column:
         name = F.get(F.array(*[F.lit(k) for k in KINDS]), at.cast("int"))
         return F.struct(F.struct(name.alias("name")).alias("type"))
 
-    five, six = (F.array(*[stat(place) for place in range(n)]) for n in (5, 6))
+    stats = F.transform(F.sequence(F.lit(0), F.when(number % 20 == 0, 4).otherwise(5)), stat)
     one = F.array(kind(label % 10))
     two = F.array(kind(label % 10), kind((label + 3) % 10))
     return embeddings.select(
@@ -226,7 +228,7 @@ def pokemon(embeddings: DataFrame) -> DataFrame:
         (number % 300).cast("int").alias("base_experience"),
         (number % 2 == 0).alias("is_default"),
         (number + 1).alias("order"),
-        F.when(number % 20 == 0, five).otherwise(six).alias("stats"),
+        stats.alias("stats"),
         F.when(number % 3 == 0, two).otherwise(one).alias("types"),
     )
 
