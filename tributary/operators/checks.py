@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tributary.functions.temporal import WALL_CLOCK, utc_wall_clock
 
@@ -15,6 +16,9 @@ ROWS = "rows"  # every row it marks
 VALUES = "values"  # every distinct value it marks
 REPEATS = "repeats"  # every value it marks more than once
 TABLE = "table"  # the table, if its row count is out of range
+# Tables whose jobs run side by side.
+TABLES_AT_ONCE = 8
+OUTCOMES = "check string, model string, column_name string, severity string, failures long, status string"
 
 
 @dataclass(frozen=True)
@@ -122,31 +126,24 @@ def outcomes(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFr
     Rules on rows, on the number of rows and on foreign values of a table are counted
     together while it is scanned once. What a column repeats is grouped by that column
     alone; counts are combined map-side, so a frequent value is no burden.
+
+    Each table is a job of its own and several run side by side: one plan over all tables
+    would be optimized anew whenever any part of it ends. What comes to the driver is a
+    row per check.
     """
-    found = []
-    for name, df in tables.items():
+
+    def count(name: str) -> list[Row]:
         own = [(number, check) for number, check in enumerate(checks) if check.table == name]
         plain = [(number, check) for number, check in own if check.counts != REPEATS]
-        if plain:
-            found.append(_row_rules(df, plain))
-        found += [_repeats(df, number, check) for number, check in own if check.counts == REPEATS]
-    return _with_settings(reduce(DataFrame.unionByName, found), checks)
-
-
-def _with_settings(found: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check with its settings and outcome."""
-    spark = found.sparkSession
-    settings = spark.createDataFrame(
-        [(number, c.name, c.table, c.column, c.severity) for number, c in enumerate(checks)],
-        "number int, check string, model string, column_name string, severity string",
-    )
-    failures = F.col("failures")
-    # Both sides have one row per check: a few dozen.
-    return settings.join(F.broadcast(found), "number").select(
-        "check",
-        "model",
-        "column_name",
-        "severity",
-        "failures",
-        F.when(failures == 0, "pass").otherwise(F.col("severity")).alias("status"),
-    )
+        found = [_row_rules(tables[name], plain)] if plain else []
+        found += [_repeats(tables[name], number, check) for number, check in own if check.counts == REPEATS]
+        return reduce(DataFrame.unionByName, found).collect() if found else []
+
+    with ThreadPoolExecutor(max_workers=TABLES_AT_ONCE) as pool:
+        rows = [row for found in pool.map(count, tables) for row in found]
+    results = []
+    for row in sorted(rows):
+        check = checks[row["number"]]
+        status = check.severity if row["failures"] else "pass"
+        results.append((check.name, check.table, check.column, check.severity, row["failures"], status))
+    return next(iter(tables.values())).sparkSession.createDataFrame(results, OUTCOMES)
