@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 from tributary.llm import line_dedup, ngram_join, packing, pii, quality_classifier, vector_index
 from tributary.llm.components import components
 from tributary.llm.sampling import hashed_sample
+from tributary.sources.scratch import stored
 
 FLAT = pii.Model(0.0, (), {})
 
@@ -188,6 +189,68 @@ def test_insertions_and_deletions_are_reversible(spark, documents):
     assert same(again.counts) == same(grown.counts)
 
 
+def test_changes_touch_rows_in_proportion(spark, documents, monkeypatch):
+    """Documents inserted into a large state: what is written is theirs, and nothing else."""
+    lines = [f"line number {n} of the shared ones" for n in range(400)]
+    rng = random.Random(6)
+    rows = [(i, "\n".join([*rng.sample(lines, 4), f"own line of document {i}, held by nobody else"])) for i in range(600)]
+    new = [(1000 + i, "\n".join([*rng.sample(lines, 4), f"own line of new document {i}"])) for i in range(6)]
+    state = line_dedup.insert(line_dedup.empty_state(spark), documents(rows))
+    written = []
+
+    def counting(df, purpose, replaces=None):
+        found = stored(df, purpose, replaces)
+        written.append((purpose, found.count()))
+        return found
+
+    monkeypatch.setattr(line_dedup, "stored", counting)
+    grown = line_dedup.insert(state, documents(new))
+    assert sum(n for purpose, n in written if purpose != "filters") <= 3 * 6 * 5
+    assert cells(line_dedup.drop_repeated_lines(documents(rows + new), grown)) == dedup_by_hand(rows + new)
+    written.clear()
+    back = line_dedup.delete(grown, documents(new))
+    assert sum(n for purpose, n in written if purpose != "filters") <= 4 * 6 * 5
+    assert cells(line_dedup.drop_repeated_lines(documents(rows), back)) == dedup_by_hand(rows)
+
+
+def test_shards_follow_the_number_of_keys(spark, documents, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 20)
+    monkeypatch.setattr(line_dedup, "LAYERS", 2)
+    rng = random.Random(7)
+    lines = [f"line number {n} of the shared ones" for n in range(120)]
+    state, rows, shards = line_dedup.empty_state(spark), [], []
+    for turn in range(4):
+        more = [(turn * 100 + i, "\n".join(rng.sample(lines[: 40 * (turn + 1)], 20))) for i in range(10)]
+        rows += more
+        state = line_dedup.insert(state, documents(more))
+        shards.append(state.shards)
+        held = state.counts.where(f"n_docs >= {state.min_docs}").select("key").collect()
+        assert state.held == len(held) <= state.shards * 20
+        assert state.filters.count() <= state.shards
+    assert shards[0] < shards[-1]
+    assert cells(line_dedup.drop_repeated_lines(documents(rows), state)) == dedup_by_hand(rows)
+    gone, kept = rows[:25], rows[25:]
+    state = line_dedup.delete(state, documents(gone))
+    assert cells(line_dedup.drop_repeated_lines(documents(kept), state)) == dedup_by_hand(kept)
+
+
+def test_clashing_names_pass_unchanged(spark):
+    line = "a line that three documents share"
+    rows = [(i, f"{line}\nown {i}", "kept", "kept", "kept", "kept") for i in range(4)] + [(None, line, "kept", "kept", "kept", "kept")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, `drop` string, gone string, `a.b` string")
+    for found in (line_dedup.dedup_lines(docs), ngram_join.keep_one(docs, 3, 50)):
+        assert [name for name in found.columns if name in docs.columns] == docs.columns
+        assert {(r["id"], r["drop"], r["gone"], r["a.b"]) for r in found.collect()} == {("kept",) * 4}
+    assert [r.n_dropped for r in line_dedup.dedup_lines(docs).orderBy(F.asc_nulls_last("doc_id")).collect()] == [1, 1, 1, 0, 0]
+    assert ngram_join.keep_one(docs, 3, 50).count() == 2
+
+
+def test_a_very_long_text_loses_its_lines(documents):
+    line = "this line is in three documents at least"
+    rows = [(1, line), (2, line), (3, "\n".join(f"filler {n} " * 3 + ("\n" + line) * (n % 9 == 0) for n in range(60_000)) + "é" * 2_000_000), (4, line)]
+    assert cells(line_dedup.dedup_lines(documents(rows))) == dedup_by_hand(rows)
+
+
 def test_cuckoo_filter_holds_inserts_and_deletes():
     keys = [hashlib.md5(str(i).encode()).digest() for i in range(5_000)]
     made = line_dedup.CuckooFilter.of(keys[:3_000])
@@ -370,6 +433,46 @@ def test_rows_without_or_with_the_same_id_are_packed_each(documents):
     assert sorted(((r.doc_id, r.length) for r in rows), key=repr) == [(1, 3), (1, 3), (None, 3)] or sum(r.length for r in rows) == 9
 
 
+def windows_of(rows):
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.doc_id, r.start, r.length))
+    return sorted(sorted(own) for own in sequences.values())
+
+
+def test_windows_do_not_depend_on_the_session(spark, documents):
+    rng = random.Random(16)
+    texts = [(i, words_of(rng, rng.choice([5, 40, 150]), 60)) for i in range(120)]
+    docs = documents(texts)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    found = []
+    try:
+        for partitions in (4, 200, 2000):
+            spark.conf.set(setting, partitions)
+            found.append(windows_of(packing.pack_documents(docs, window=64, shard_tokens=900).collect()))
+    finally:
+        spark.conf.set(setting, before)
+    assert found[0] == found[1] == found[2]
+    sizes = [sum(piece[3] for piece in own) for own in found[0]]
+    # Several shards and rounds, and only the last tokens of all are not in a full window.
+    assert sum(sizes) > 5 * 900 and sum(size for size in sizes if size != 64) < 64
+
+
+def test_copies_of_one_text_are_many_shards_work(documents):
+    texts = [(i, words_of(random.Random(3), 30, 60)) for i in range(200)] + [(7, words_of(random.Random(3), 30, 60))] * 100
+    rows = packing.pack_documents(documents(texts), window=64, shard_tokens=600).collect()
+    assert len({r.sequence_id >> 24 for r in rows}) > 10
+    assert sum(r.length for r in rows) == 300 * rows[0].doc_tokens
+    for own in windows_of(rows):
+        assert [piece[0] for piece in own] == [sum(p[3] for p in own[:i]) for i in range(len(own))]
+
+
+def test_long_texts_are_packed_whole(documents):
+    texts = [(1, "word " * 200_000), (2, "w" * 50_000), (3, "a b c")]
+    check_pieces(packing.pack_documents(documents(texts)).collect(), texts, 4096)
+
+
 def test_windows_hold_lexical_neighbours():
     rng = np.random.default_rng(1)
     texts = [np.concatenate([rng.integers(100 * (i % 2), 100 * (i % 2) + 100, 15)]).astype(np.uint16) for i in range(40)]
@@ -404,6 +507,61 @@ def test_classifier_ranks_held_out_texts(spark):
     assert all(np.allclose(a, b) for a, b in zip(again.weights, model.weights))
 
 
+@pytest.mark.parametrize("prior", [0.1, 0.6, 0.95])
+def test_risk_descends_by_its_gradient(prior):
+    """Against finite differences; below zero the descent is that of minus the bad risk."""
+    rng = np.random.default_rng(int(100 * prior))
+    signs = set()
+    for trial in range(6):
+        xp, xu = rng.normal(1, 1, (9, 5)), rng.normal(0, 1, (13, 5))
+        weights = [rng.normal(0, 1, (5, 4)), rng.normal(0, 1, 4), rng.normal(0, 2, 4), rng.normal(0, 2, 1)]
+
+        def parts():
+            hidden_p, out_p = quality_classifier._forward(xp, weights)
+            _, out_u = quality_classifier._forward(xu, weights)
+            bad = np.logaddexp(0, out_u).mean() - prior * np.logaddexp(0, out_p).mean()
+            return prior * np.logaddexp(0, -out_p).mean(), bad
+
+        total, grads = quality_classifier.risk(xp, xu, weights, prior)
+        good, bad = parts()
+        assert total == pytest.approx(good + max(0, bad))
+        signs.add(bad >= 0)
+        wanted = (lambda: sum(parts())) if bad >= 0 else (lambda: -parts()[1])
+        for weight, grad in zip(weights, grads):
+            for place in np.ndindex(weight.shape):
+                before = weight[place]
+                weight[place] = before + 1e-6
+                above = wanted()
+                weight[place] = before - 1e-6
+                slope = (above - wanted()) / 2e-6
+                weight[place] = before
+                assert grad[place] == pytest.approx(slope, abs=1e-5)
+    assert prior < 0.9 or signs == {True, False}
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.9])
+def test_the_prior_is_found_without_negatives(share):
+    rng = np.random.default_rng(4)
+    width = len(quality_classifier.FEATURES)
+    good, bad = (lambda n: rng.normal(0, 1, (n, width))), (lambda n: rng.normal(0, 1, (n, width)) + 1.2 * (np.arange(width) < 6))
+    unlabelled = np.concatenate([good(round(4000 * share)), bad(4000 - round(4000 * share))])
+    assert quality_classifier.mixture_share(good(2500), unlabelled) == pytest.approx(share, abs=0.06)
+
+
+def test_positive_labels_alone_reject_bad_documents(spark):
+    """The given tables with the zeros taken out of the labels."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    outside = labels.where("crc32(cast(doc_id as string)) % 5 != 0")
+    share = outside.agg(F.avg("quality")).first()[0]
+    model = quality_classifier.train(docs, labels.where("quality = 1"))
+    assert abs(model.prior - share) <= 0.05
+    held = docs.join(labels.where("crc32(cast(doc_id as string)) % 5 = 0"), "doc_id").select("text", "quality")
+    rows = quality_classifier.score(held, model).collect()
+    assert np.mean([(r.score >= quality_classifier.THRESHOLD) == r.quality for r in rows]) > 0.95
+
+
 def test_samples_hold_one_row_of_a_group_of_copies(spark, monkeypatch):
     rows = spark.createDataFrame([(k, k * 7) for k in range(1_000)], "k long, v long")
     first = hashed_sample(rows, 50, "k")

@@ -1,17 +1,19 @@
 """Incremental, reversible line dedup: exact reference counts behind sharded cuckoo filters.
 
-The state of a corpus is three tables, each in shards by the hash of the line key:
+The state of a corpus is three tables:
 
-* ``refs``: (shard, key, doc_id), each document's distinct line keys, the exact record;
-* ``counts``: (shard, key, n_docs, keep_doc), the exact reference counts derived from it;
+* ``refs``: (key, doc_id), each document's distinct line keys, the exact record;
+* ``counts``: (key, n_docs, keep_doc), the exact reference counts derived from it;
 * ``filters``: (shard, slots), a cuckoo filter per shard over the keys that are held by
-  enough documents to be dropped.
-
-Inserting documents adds references, deleting them takes the references away, and in
-both cases only counts that change are looked at again: keys that reach the limit are put
-into their shard's filter, keys that fall below it are deleted from it. Lines are looked
-up in the filter first; the few that pass are confirmed against the exact counts, so a
-false positive never drops a line.
+  enough documents to be dropped. Shards go by the hash of the key; there are as many as
+  the number of such keys asks for, and when they have filled, twice as many take over.
+
+Inserting documents adds references, deleting them takes references away. In both cases
+only keys of those documents are counted anew, as a layer over the counts before: keys that
+reach the limit are put into their shard's filter, keys that fall below it are deleted from
+it, and filters without such a key are left alone. Layers are merged once there are many.
+Lines are looked up in the filter first; the few that pass are confirmed against the exact
+counts, so a false positive never drops a line.
 """
 
 from __future__ import annotations
@@ -23,20 +25,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tributary.llm.names import quoted, unused
+from tributary.operators.aggregates import collapse
 from tributary.sources.scratch import stored
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-#: Shards of the state. A shard's filter and its share of the counts fit one task.
-SHARDS = 64
+#: Keys of a shard on average, at most, and buckets of its filter, which are then half full.
+SHARD_KEYS = 1 << 15
+BUCKETS = 1 << 14
+#: Insertions and deletions after which the layers of a state are merged.
+LAYERS = 8
 #: References of one shard that are probed together in one task.
 PROBE_ROWS = 200_000
 SPACE = b" \t\n\r\x0b\x0c"
 
-REFS = "shard int, key binary, doc_id long"
+REFS = "key binary, doc_id long"
+COUNTS = "key binary, n_docs long, keep_doc long"
+FILTERS = "shard int, slots binary"
 
 
 class CuckooFilter:
@@ -48,15 +57,19 @@ class CuckooFilter:
         self.slots = slots
 
     @classmethod
-    def of(cls, keys: list[bytes]) -> CuckooFilter:
-        """A filter that holds ``keys``, grown until all fit."""
-        buckets = 1 << max(2, int(np.ceil(np.log2(max(1, len(keys)) / 3.4))))
+    def of(cls, keys: list[bytes], buckets: int = 4) -> CuckooFilter:
+        """A filter that holds ``keys``, of the given number of buckets or grown until all fit."""
+        buckets = max(buckets, 1 << max(0, int(np.ceil(np.log2(max(1, len(keys)) / 3.4)))))
         while True:
             made = cls(np.zeros((buckets, 4), np.uint16))
             if all(made.insert(key) for key in keys):
                 return made
             buckets *= 2
 
+    @classmethod
+    def of_bytes(cls, slots: bytes) -> CuckooFilter:
+        return cls(np.frombuffer(slots, np.uint16).reshape(-1, 4).copy())
+
     def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprint and both buckets of keys given as 64-bit halves."""
         mark = ((keys >> np.uint64(48)) | np.uint64(1)).astype(np.uint16)
@@ -107,13 +120,20 @@ def _halves(keys: list[bytes]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class State:
-    """The three tables of a corpus, and the limit its filters are built for."""
+    """The tables of a corpus, and the limits its filters are built for.
+
+    ``held`` is the number of keys in the filters, ``layers`` that of changes since the
+    tables were last merged; a state nothing was inserted into yet has none and no shards.
+    """
 
     refs: DataFrame
     counts: DataFrame
     filters: DataFrame
     min_docs: int = MIN_DOCS
     min_chars: int = MIN_CHARS
+    shards: int = 0
+    held: int = 0
+    layers: int = 0
 
 
 def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -125,7 +145,7 @@ def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
 
 
 def line_refs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """The distinct (shard, key, doc_id) of documents; rows without an id hold nothing.
+    """The distinct (key, doc_id) of documents; rows without an id hold nothing.
 
     Rows of one id are one document.
     """
@@ -140,61 +160,118 @@ def line_refs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                     own.discard(None)
                     keys += own
                     ids += [doc] * len(own)
-            shards = (_halves(keys) >> np.uint64(20)) % np.uint64(SHARDS)
-            columns = [pa.array(shards.astype(np.int32)), pa.array(keys, pa.binary()), pa.array(ids, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "key", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "doc_id"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).alias("text"))
     return rows.where("doc_id is not null").mapInArrow(refs, REFS).distinct()
 
 
 def _counts(refs: DataFrame) -> DataFrame:
     """Exact counts, combined map-side: a line in a third of all documents is no hot group."""
-    return refs.groupBy("shard", "key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep_doc"))
+    return refs.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep_doc"))
 
 
 def empty_state(spark: SparkSession, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> State:
-    refs = spark.createDataFrame([], REFS)
-    filters = spark.createDataFrame([], "shard int, slots binary")
-    return State(refs, _counts(refs), filters, min_docs, min_chars)
+    tables = [spark.createDataFrame([], schema) for schema in (REFS, COUNTS, FILTERS)]
+    return State(*tables, min_docs, min_chars)
 
 
 def insert(state: State, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> State:
-    """The state with the lines of ``docs`` added; references it already has stay single."""
-    new = line_refs(docs, id_col, text_col, state.min_chars)
-    return _next(state, stored(state.refs.unionByName(new).distinct(), "refs"))
+    """The state with the lines of ``docs`` added; references it already has stay single.
+
+    What is stored are the new references and the new counts of their keys.
+    """
+    added = line_refs(docs, id_col, text_col, state.min_chars)
+    if state.shards:
+        # References that documents of these ids had before; a new id has none.
+        added = stored(added, "refs")
+        known = state.refs.join(added.select("doc_id").distinct(), "doc_id", "left_semi")
+        added = added.join(known, ["key", "doc_id"], "left_anti")
+    added = stored(added, "refs")
+    delta = _counts(added)
+    if state.shards:
+        keys = delta.select("key")
+        before = state.counts.join(keys, "key", "left_semi").withColumn("was", F.col("n_docs"))
+        both = before.unionByName(delta.withColumn("was", F.lit(0).cast("long")))
+        sums = [F.sum("n_docs").alias("n_docs"), F.max("keep_doc").alias("keep_doc"), F.max("was").alias("was")]
+        touched = both.groupBy("key").agg(*sums)
+    else:
+        touched = delta.withColumn("was", F.lit(0).cast("long"))
+    refs = state.refs.unionByName(added) if state.shards else added
+    return _next(state, refs, stored(touched, "counts"))
 
 
 def delete(state: State, ids: DataFrame, id_col: str = "doc_id") -> State:
-    """The state without the documents whose ids are given, as if they had never come."""
-    gone = ids.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
-    return _next(state, stored(state.refs.join(gone, "doc_id", "left_anti").select("shard", "key", "doc_id"), "refs"))
-
-
-def _next(state: State, refs: DataFrame) -> State:
-    """Counts and filters for new references; a filter changes by its keys that crossed."""
-    counts = stored(_counts(refs), "counts")
-    limit = F.col("n_docs") >= state.min_docs
-    before = state.counts.where(limit).select("shard", "key", F.lit(1).alias("was"))
-    after = counts.where(limit).select("shard", "key", F.lit(1).alias("now"))
-    crossed = before.join(after, ["shard", "key"], "full").select("shard", "key", F.coalesce("was", F.lit(0)).alias("was"), F.coalesce("now", F.lit(0)).alias("now"))
-
-    def update(key, keys: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        was, now = keys["was"].to_numpy(bool), keys["now"].to_numpy(bool)
-        held = list(keys["key"])
-        full = not len(old)
-        if not full:
-            made = CuckooFilter(np.frombuffer(old["slots"].iloc[0], np.uint16).reshape(-1, 4).copy())
-            for i in np.flatnonzero(was & ~now):
-                made.delete(held[i])
-            full = not all(made.insert(held[i]) for i in np.flatnonzero(now & ~was))
-        if full:  # new, or too small: made again from the exact keys
-            made = CuckooFilter.of([held[i] for i in np.flatnonzero(now)])
+    """The state without the documents whose ids are given, as if they had never come.
+
+    What is stored are their references and the new counts of their keys. The references
+    of other documents are only looked at for keys whose last document has gone.
+    """
+    gone = ids.select(F.col(quoted(id_col)).cast("long").alias("doc_id")).distinct()
+    lost = stored(state.refs.join(gone, "doc_id", "left_semi").select("key", "doc_id"), "refs")
+    refs = state.refs.join(gone, "doc_id", "left_anti").select("key", "doc_id")
+    per_key = lost.groupBy("key").agg(F.count(F.lit(1)).alias("lost"), F.max("doc_id").alias("last"))
+    fewer = state.counts.join(per_key, "key").withColumn("was", F.col("n_docs")).withColumn("n_docs", F.col("n_docs") - F.col("lost"))
+    fewer = stored(fewer, "counts")
+    orphans = fewer.where("n_docs > 0 and keep_doc = last").select("key")
+    heirs = stored(refs.join(orphans, "key", "left_semi").groupBy("key").agg(F.max("doc_id").alias("heir")), "heirs")
+    touched = fewer.join(heirs, "key", "left").select("key", "n_docs", F.coalesce("heir", "keep_doc").alias("keep_doc"), "was")
+    return _next(state, refs, stored(touched, "counts"))
+
+
+def shard_of(shards: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
+
+
+def _next(state: State, refs: DataFrame, touched: DataFrame) -> State:
+    """The state with new counts (key, n_docs, keep_doc, was) for some keys, and its filters."""
+    now, was = (F.col(name) >= state.min_docs for name in ("n_docs", "was"))
+    current = touched.where("n_docs > 0").select("key", "n_docs", "keep_doc")
+    counts = state.counts.join(touched.select("key"), "key", "left_anti").unionByName(current) if state.shards else current
+    change = touched.agg(F.count(F.when(now, 1)) - F.count(F.when(was, 1))).first()[0]
+    held = state.held + change
+    shards = max(state.shards, 1)
+    while held > shards * SHARD_KEYS:
+        shards *= 2
+    filters = None
+    if shards == state.shards:
+        filters = _changed_filters(state, touched.where(now != was).select("key", now.alias("now")))
+        shards *= 1 if filters is not None else 2
+    if filters is None:  # the shards are new
+        filters = _new_filters(counts.where(now), shards)
+    layers = state.layers + 1
+    if layers > LAYERS:
+        refs, counts, filters, layers = stored(refs, "refs"), stored(counts, "counts"), stored(filters, "filters"), 1
+    return State(refs, counts, filters, state.min_docs, state.min_chars, shards, held, layers)
+
+
+def _new_filters(keys: DataFrame, shards: int) -> DataFrame:
+    """Filters made from all keys."""
+
+    def make(key, group: pd.DataFrame) -> pd.DataFrame:
+        made = CuckooFilter.of(list(group["key"]), BUCKETS)
         return pd.DataFrame({"shard": [key[0]], "slots": [made.slots.tobytes()]})
 
-    groups = crossed.groupBy("shard").cogroup(state.filters.groupBy("shard"))
-    filters = stored(groups.applyInPandas(update, "shard int, slots binary"), "filters")
-    return State(refs, counts, filters, state.min_docs, state.min_chars)
+    return stored(keys.select(shard_of(shards), "key").groupBy("shard").applyInPandas(make, FILTERS), "filters")
+
+
+def _changed_filters(state: State, crossed: DataFrame) -> DataFrame | None:
+    """The filters after keys (key, now) have crossed the limit; None if one is full."""
+
+    def change(key, keys: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+        if not len(keys):
+            return pd.DataFrame({"shard": [], "slots": []})
+        made = CuckooFilter.of_bytes(old["slots"].iloc[0]) if len(old) else CuckooFilter.of([], BUCKETS)
+        for held in keys["key"][~keys["now"]]:
+            made.delete(held)
+        full = not all(made.insert(held) for held in keys["key"][keys["now"]])
+        return pd.DataFrame({"shard": [key[0]], "slots": [None if full else made.slots.tobytes()]})
+
+    groups = crossed.select(shard_of(state.shards), "key", "now").groupBy("shard").cogroup(state.filters.groupBy("shard"))
+    changed = stored(groups.applyInPandas(change, FILTERS), "filters")
+    if not changed.where("slots is null").isEmpty():
+        return None
+    return state.filters.join(changed.select("shard"), "shard", "left_anti").unionByName(changed)
 
 
 def repeated_lines(state: State) -> DataFrame:
@@ -205,24 +282,24 @@ def repeated_lines(state: State) -> DataFrame:
     copy of the filter, so a line held by a third of all documents is spread as well. What
     passes is confirmed against the exact counts.
     """
-    sizes = state.refs.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("int").alias("parts"))
-    sizes = F.broadcast(sizes)  # one row per shard
+    refs = state.refs.select(shard_of(max(state.shards, 1)), "key", "doc_id")
+    sizes = collapse(refs, "shard", parts=F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("int"))
     part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part")
-    probes = state.refs.join(sizes, "shard").select("shard", part, "key", "doc_id")
+    probes = refs.join(sizes, "shard").select("shard", part, "key", "doc_id")
     copies = state.filters.join(sizes, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "slots"
     )
 
     def probe(key, refs: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         if not len(refs) or not len(filters):
-            return refs.iloc[:0][["shard", "key", "doc_id"]]
-        made = CuckooFilter(np.frombuffer(filters["slots"].iloc[0], np.uint16).reshape(-1, 4))
-        return refs[made.contains(list(refs["key"]))][["shard", "key", "doc_id"]]
+            return refs.iloc[:0][["key", "doc_id"]]
+        made = CuckooFilter.of_bytes(filters["slots"].iloc[0])
+        return refs[made.contains(list(refs["key"]))][["key", "doc_id"]]
 
     groups = probes.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part"))
     passed = groups.applyInPandas(probe, REFS)
-    exact = state.counts.where(F.col("n_docs") >= state.min_docs).select("shard", "key", "keep_doc")
-    return passed.join(exact, ["shard", "key"]).where("doc_id != keep_doc").select("doc_id", "key")
+    exact = state.counts.where(F.col("n_docs") >= state.min_docs).select("key", "keep_doc")
+    return passed.join(exact, "key").where("doc_id != keep_doc").select("doc_id", "key")
 
 
 def drop_repeated_lines(docs: DataFrame, state: State, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,20 +308,25 @@ def drop_repeated_lines(docs: DataFrame, state: State, id_col: str = "doc_id", t
     A null text is one empty line and becomes empty. A line that a document holds several
     times is dropped or kept in all its places. Documents unknown to the state and rows
     without an id lose nothing; every row stays. Columns named ``n_lines`` and ``n_dropped``
-    are replaced, all others pass.
+    are replaced, all others pass, whatever their names. Rows without an id take no part in
+    the join, and those of a frequent id can be split among tasks there.
     """
     min_chars = state.min_chars
-    drops = repeated_lines(state).groupBy(F.col("doc_id").alias("_id")).agg(F.array_join(F.collect_list(F.hex("key")), "").alias("_drop"))
-    columns = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*columns).withColumn(text_col, text)
-    joined = rows.join(drops, F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
+    rows = docs.drop("n_lines", "n_dropped")
+    columns, place = rows.columns, rows.columns.index(text_col)
+    id_name, drop_name = unused(rows, "id", "drop")
+    lists = collapse(repeated_lines(state), "doc_id", drop=F.array_join(F.collect_list(F.hex("key")), ""))
+    lists = lists.toDF(id_name, drop_name)
+    key = F.col(quoted(id_col)).cast("long")
+    rows = rows.withColumn(text_col, F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")))
+    joined = rows.where(key.isNotNull()).join(lists, key == F.col(id_name), "left").drop(id_name)
+    joined = joined.unionByName(rows.where(key.isNull()).withColumn(drop_name, F.lit(None).cast("string")))
     schema = StructType([*rows.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lines, dropped = [], [], []
-            for text, drop in zip(batch[text_col], batch["_drop"]):
+            for text, drop in zip(batch.column(place), batch.column(len(columns))):
                 text, drop = text.as_py(), drop.as_py()
                 kept = own = text.split("\n")
                 if drop:
@@ -255,10 +337,11 @@ def drop_repeated_lines(docs: DataFrame, state: State, id_col: str = "doc_id", t
                 texts.append(text)
                 lines.append(len(own))
                 dropped.append(len(own) - len(kept))
-            arrays = [pa.array(texts, pa.string()) if name == text_col else batch[name] for name in columns]
+            arrays = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*columns, "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(rewrite, schema)
+    # Columns go in by place, so that any name will do.
+    return joined.toDF(*[f"c{i}" for i in range(len(columns) + 1)]).mapInArrow(rewrite, schema)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.llm.components import components
+from tributary.llm.names import quoted, unused
 from tributary.llm.words import Words, ngrams, text_slices
 from tributary.sources.scratch import stored
 
@@ -311,7 +312,7 @@ def ngram_components(
 
     # Only classes that may be linked need their whole sets, which are made from the text again.
     wanted = placed.select("rep", "set_key").distinct()
-    texts = rows.join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "set_key", "text")
+    texts = rows.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "set_key", "text")
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,11 +342,15 @@ def ngram_components(
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one that names it.
 
-    Rows without an id stay, since nothing can name them.
+    Rows without an id stay, since nothing can name them; they take no part in the join.
+    Columns may have any names.
     """
     found = ngram_components(docs, n, percent, id_col, text_col)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    [name] = unused(docs, "gone")
+    key = F.col(quoted(id_col)).cast("long")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.where(key.isNotNull()).join(gone, key == F.col(name), "left_anti")
+    return kept.unionByName(docs.where(key.isNull()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

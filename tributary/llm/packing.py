@@ -1,9 +1,13 @@
 """Packing by lexical retrieval: each window is filled with what BM25 finds near its seed.
 
-Documents are tokenized once and dealt to shards of bounded size, similar ones near each
-other. Each shard builds a BM25 inverted index of its texts. The next unused text is the
-seed of a window; its unused neighbours, best first, fill the window, and the last one is
-cut where the window ends. What is left of it is unused again.
+Documents are tokenized once. A text's full windows are sequences by themselves; the rests
+are dealt to shards of a bounded number of tokens, similar ones near each other. Each shard
+builds a BM25 inverted index of its texts. The next unused text is the seed of a window; its
+unused neighbours, best first, fill the window, and the last one is cut where the window
+ends. What is left of it is unused again. What a shard has left, less than a window, goes on
+to a further round of shards, until one shard is left.
+
+The shards follow from the tokens alone, so the windows do not depend on the session.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +23,14 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tributary.llm.names import quoted
 from tributary.sources.scratch import stored
 
 WINDOW = 4096
 #: Tokens of a shard: about so many are held, indexed and packed together.
 SHARD_TOKENS = 1_000_000
+#: Ranges of places whose tokens are counted to draw the limits of shards: 2**RANGE_BITS.
+RANGE_BITS = 16
 #: The id that ends each document.
 END = 2
 VOCABULARY = "word_bpe_49k.json"
@@ -102,24 +109,28 @@ def tokenizer(path: str) -> WordTokenizer:
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, place, n, ids) of each row: its tokens and END, and a place for sharding.
+    """(doc_id, row, place, n, ids) of each row: its tokens and END, and a place for sharding.
 
     Null counts as empty and has END alone. ``place`` is the smallest hash of the text's
-    words, which texts share in proportion to the words they share.
+    words, which texts share in proportion to the words they share; ``row`` is different
+    for every row, that of copies too.
     """
     path = path or vocabulary_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], "<u2").tobytes()
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             own = tokenizer(path)
             ids = [own.encode((text.as_py() or "").encode()) + end for text in batch["text"]]
             places = [_place(np.frombuffer(x, "<u2")) for x in ids]
-            columns = [batch["doc_id"], pa.array(places, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "ids"])
+            rows = pa.array(np.arange(row, row + len(ids)))
+            row += len(ids)
+            columns = [batch["doc_id"], rows, pa.array(places, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "place", "n", "ids"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(encode, f"doc_id {dict(rows.dtypes)['doc_id']}, place long, n long, ids binary")
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
+    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, place long, n long, ids binary")
 
 
 _random = np.random.default_rng(11)
@@ -165,7 +176,7 @@ def pack_shard(texts: list[np.ndarray], window: int = WINDOW, last: bool = True)
 
     A text's full windows come first, by themselves. Its rest is a seed or a neighbour.
     With ``last``, the final tokens, too few for a window, go into sequences of powers of
-    two, which need no padding; else they are left over for the next shard.
+    two, which need no padding; else they are left over for the next round.
     """
     sequences = []
     rest = {}
@@ -215,58 +226,117 @@ def pack_shard(texts: list[np.ndarray], window: int = WINDOW, last: bool = True)
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+TAIL = "row long, place long, first long, n long, ids binary"
 
 
 def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Pieces of tokenized documents (doc_id, place, n, ids) in sequences of ``window``.
-
-    Rows are ordered by place over all tasks, so that similar texts are neighbours; the
-    row's id and size follow in the order, so that copies of one text can be split between
-    tasks like any others. A task walks its rows in shards of about ``shard_tokens`` and
-    hands what does not fill a window to its next shard. Every token is in exactly one
-    piece. Sequences hold ``window`` tokens, except the last few of each task, which hold
-    a power of two.
+    """Pieces of tokenized documents (doc_id, row, place, n, ids) in sequences of ``window``.
+
+    Every token is in exactly one piece. Sequences hold ``window`` tokens, except the very
+    last ones, which hold powers of two. A shard's texts are one group of bounded size, in
+    the order of their places, so a lost task packs its shards again as they were. A round
+    leaves less than a window of each shard's tokens to the next.
+    """
+    shard_tokens = max(shard_tokens, 4 * window)  # so that a round leaves half of it at most
+    doc_id = f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}"
+    schema = f"{doc_id}, {PIECES}, {TAIL}"
+    tokens = tokens.withColumn("first", F.expr(f"n - n % {window}"))
+    full = tokens.where("first > 0").select("doc_id", "n", "first", "ids")
+    pieces = [full.mapInArrow(_full_windows(window), f"{doc_id}, {PIECES}")]
+    rests = tokens.where("n > first").withColumn("ids", F.expr("substring(ids, CAST(2 * first + 1 AS INT))"))
+    final = False
+    turn = 0
+    while not final:
+        sharded, final = _sharded(rests.select("doc_id", *_names(TAIL)), shard_tokens)
+        packed = stored(sharded.groupBy("shard").applyInArrow(_pack_rests(window, turn, final), schema), "packed")
+        pieces.append(packed.where("ids IS NULL").select("doc_id", *_names(PIECES)))
+        rests = packed.where("ids IS NOT NULL")
+        turn += 1
+    return reduce(DataFrame.unionByName, pieces)
+
+
+def _names(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
+
+
+def _sharded(rests: DataFrame, shard_tokens: int) -> tuple[DataFrame, bool]:
+    """The texts with the number of their shard, and whether there is one shard only.
+
+    The tokens in each of 2**RANGE_BITS ranges of places are counted; neighbouring ranges
+    make a shard. A range with more tokens than a shard, as one that holds the copies of one
+    text, is dealt to several by the hash of the row.
     """
-    partitions = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = tokens.repartitionByRange(partitions, "place", "doc_id", "n").sortWithinPartitions("place", "doc_id", "n", "ids")
-    kind = dict(tokens.dtypes)["doc_id"]
+    span = F.shiftrightunsigned("place", 64 - RANGE_BITS).cast("int")
+    counts = rests.groupBy(span.alias("span")).agg(F.sum(F.col("n") - F.col("first")).alias("tokens"))
+    limits, shard, size = [], -1, shard_tokens
+    for row in counts.orderBy("span").collect():  # a row per range at most
+        parts = -(-row["tokens"] // shard_tokens)
+        if parts > 1 or size + row["tokens"] > shard_tokens:
+            shard, size = shard + 1, 0
+        limits.append((row["span"], shard, parts))
+        size += row["tokens"]
+        if parts > 1:
+            shard, size = shard + parts - 1, shard_tokens
+    table = rests.sparkSession.createDataFrame(limits, "span int, shard int, parts int")
+    dealt = F.col("shard") + F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    # A row per range at most, whatever the corpus.
+    sharded = rests.withColumn("span", span).join(F.broadcast(table), "span").withColumn("shard", dealt)
+    return sharded.drop("span", "parts"), shard <= 0
+
+
+def _full_windows(window: int):
+    """Pieces of the full windows that texts hold, each a sequence of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Unique over the tasks of one job, and the same when a lost task runs again.
-        number = TaskContext.get().partitionId() << 36
-        held: list[tuple] = []  # (doc_id, document's tokens, first token held, ids)
-        size = 0
-
-        def emit(last: bool) -> pa.RecordBatch:
-            nonlocal held, size, number
-            sequences, left = pack_shard([h[3] for h in held], window, last)
-            rows = []
-            for sequence in sequences:
-                offset = 0
-                for text, start, length in sequence:
-                    doc, n, first, ids = held[text]
-                    crc = zlib.crc32(ids[start : start + length].astype("<u4").tobytes())
-                    rows.append((doc, first + start, length, crc, n, number, offset))
-                    offset += length
-                number += 1
-            held = [(held[t][0], held[t][1], held[t][2] + start, held[t][3][start:]) for t, start, _ in left]
-            size = sum(len(h[3]) for h in held)
-            columns = list(zip(*rows)) or [[]] * 7
-            arrays = [pa.array(columns[0], doc_type), *(pa.array(c, pa.int64()) for c in columns[1:])]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(p.split()[0] for p in PIECES.split(", "))])
-
-        doc_type = pa.int64()
+        number = (1 << 62) + (TaskContext.get().partitionId() << 36)
         for batch in batches:
-            doc_type = batch["doc_id"].type
-            for doc, n, ids in zip(batch["doc_id"].to_pylist(), batch["n"].to_pylist(), batch["ids"]):
-                held.append((doc, n, 0, np.frombuffer(ids.as_py(), "<u2")))
-                size += n
-                if size >= shard_tokens:
-                    yield emit(False)
-        if held:
-            yield emit(True)
-
-    return spread.mapInArrow(run, f"doc_id {kind}, {PIECES}")
+            taken, rows = [], []
+            for i in range(batch.num_rows):
+                n, first, ids = (batch.column(place)[i].as_py() for place in (1, 2, 3))
+                ids = np.frombuffer(ids, "<u2")
+                for start in range(0, first, window):
+                    rows.append((start, window, _crc(ids[start : start + window]), n, number, 0))
+                    taken.append(i)
+                    number += 1
+            columns = [pa.array(column, pa.int64()) for column in zip(*rows)]
+            if rows:
+                ids = batch.column(0).take(pa.array(taken))
+                yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", *_names(PIECES)])
+
+    return run
+
+
+def _crc(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def _pack_rests(window: int, turn: int, final: bool):
+    """Pieces of the texts of a shard, and what the next round has to pack (ids is not null)."""
+    names = ["doc_id", *_names(PIECES), *_names(TAIL)]
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        # Copies of one row differ in nothing but the row's number.
+        group = group.sort_by([("place", "ascending"), ("row", "ascending")])
+        texts = [np.frombuffer(ids, "<u2") for ids in group["ids"].to_pylist()]
+        held = list(zip(*(group[name].to_pylist() for name in ("doc_id", "row", "place", "first", "n"))))
+        number = (turn << 56) + (key[0].as_py() << 24)
+        rows = []
+        sequences, left = pack_shard(texts, window, final)
+        for sequence in sequences:
+            offset = 0
+            for text, start, length in sequence:
+                doc, _, _, first, n = held[text]
+                crc = _crc(texts[text][start : start + length])
+                rows.append((doc, first + start, length, crc, n, number, offset, *[None] * 5))
+                offset += length
+            number += 1
+        for text, start, _ in left:
+            doc, row, place, first, n = held[text]
+            rows.append((doc, *[None] * 6, row, place, first + start, n, texts[text][start:].tobytes()))
+        kinds = [group["doc_id"].type, *[pa.int64()] * 10, pa.binary()]
+        return pa.table([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names)
+
+    return run
 
 
 def pack_documents(

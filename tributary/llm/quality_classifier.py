@@ -26,6 +26,8 @@ from tributary.llm.words import IS_SPACE, Words, ngrams, text_slices
 MAX_POSITIVE = 8_000
 MAX_UNLABELLED = 12_000
 THRESHOLD = 0.3
+#: The bound of the class prior's estimate holds but for this chance.
+CONFIDENCE = 0.1
 HELD_OUT = 5
 HIDDEN, EPOCHS, BATCH, RATE = 24, 40, 512, 0.01
 
@@ -115,18 +117,45 @@ def _forward(x: np.ndarray, weights: tuple[np.ndarray, ...]) -> tuple[np.ndarray
     return hidden, hidden @ w2 + b2[0]
 
 
+def risk(xp: np.ndarray, xu: np.ndarray, weights: list[np.ndarray], prior: float) -> tuple[float, list[np.ndarray]]:
+    """The non-negative risk of a batch of positives and unlabelled rows, and its descent.
+
+    Where the estimated risk of the bad class turns negative, the descent is that of minus
+    this risk, so that the network cannot fit the positives by calling everything else bad.
+    """
+    x = np.concatenate([xp, xu])
+    hidden, out = _forward(x, weights)
+    good = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+    n = len(xp)
+    bad_loss = np.logaddexp(0, out)
+    bad_risk = bad_loss[n:].mean() - prior * bad_loss[:n].mean()
+    slope = np.zeros(len(x))
+    if bad_risk >= 0:
+        slope[:n] = prior * (good[:n] - 1) / n - prior * good[:n] / n
+        slope[n:] = good[n:] / len(xu)
+    else:
+        slope[:n] = prior * good[:n] / n
+        slope[n:] = -good[n:] / len(xu)
+    back = np.outer(slope, weights[2]) * (1 - hidden**2)
+    total = prior * np.logaddexp(0, -out[:n]).mean() + max(0.0, bad_risk)
+    return float(total), [x.T @ back, back.sum(0), hidden.T @ slope, np.array([slope.sum()])]
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 0) -> Model:
     """Minimise the non-negative risk by Adam over mini-batches of both kinds.
 
-    Where the estimated risk of the bad class turns negative, the step goes the other way,
-    so that the network cannot fit the positives by calling everything else bad. Without
-    positives or unlabelled rows every text scores the prior.
+    Without positives or unlabelled rows every text scores the prior.
     """
     width = len(FEATURES)
     if not len(positive) or not len(unlabelled):
         odds = np.log(prior / (1 - prior)) if 0 < prior < 1 else 30.0 * (prior > 0) - 15.0
         flat = (np.zeros((width, 1)), np.zeros(1), np.zeros(1), np.array([odds]))
         return Model(np.zeros(width), np.ones(width), flat, prior)
+    return _descend(positive, unlabelled, prior, seed)
+
+
+def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 0) -> Model:
+    width = positive.shape[1]
     every = np.concatenate([positive, unlabelled]).astype(np.float64)
     mean, scale = every.mean(0), every.std(0) + 1e-6
     p, u = (positive - mean) / scale, (unlabelled - mean) / scale
@@ -141,21 +170,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
             xp, xu = p[order_p[b::batches]], u[order_u[b::batches]]
             if not len(xp):
                 xp = p
-            x = np.concatenate([xp, xu])
-            hidden, out = _forward(x, weights)
-            good = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-            n = len(xp)
-            bad_loss = np.logaddexp(0, out)
-            bad_risk = bad_loss[n:].mean() - prior * bad_loss[:n].mean()
-            slope = np.zeros(len(x))
-            if bad_risk >= 0:
-                slope[:n] = prior * (good[:n] - 1) / n - prior * good[:n] / n
-                slope[n:] = good[n:] / len(xu)
-            else:
-                slope[:n] = prior * good[:n] / n
-                slope[n:] = -good[n:] / len(xu)
-            back = np.outer(slope, weights[2]) * (1 - hidden**2)
-            grads = [x.T @ back + 1e-4 * weights[0], back.sum(0), hidden.T @ slope + 1e-4 * weights[2], np.array([slope.sum()])]
+            _, grads = risk(xp, xu, weights, prior)
+            grads = [grads[0] + 1e-4 * weights[0], grads[1], grads[2] + 1e-4 * weights[2], grads[3]]
             step += 1
             for k, grad in enumerate(grads):
                 m, v = moments[k]
@@ -166,6 +182,34 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return Model(mean, scale, tuple(weights), prior)
 
 
+def mixture_share(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of good texts among the unlabelled, without a single bad example.
+
+    A network ranks texts by how like the positives they are. Above any cut on its score the
+    unlabelled hold at least their good ones, so the share is at most their part above the
+    cut divided by the positives' part; near the top, where bad texts are rare, it is
+    equal to it. The cut is the one with the least upper confidence bound of this quotient.
+    Each half of the rows is ranked by a network fitted on the other half.
+    """
+    rng = np.random.default_rng(0)
+    halves = [rng.permutation(len(rows)) % 2 for rows in (positive, unlabelled)]
+    shares = []
+    for half in (0, 1):
+        kept = [rows[side != half] for rows, side in zip((positive, unlabelled), halves)]
+        held = [rows[side == half] for rows, side in zip((positive, unlabelled), halves)]
+        if not all(map(len, kept + held)):
+            return 0.5
+        ranker = _descend(*kept, 0.5)
+        zp, zu = (np.sort(ranker.score(rows.astype(np.float64))) for rows in held)
+        cuts = np.unique(zp)
+        above_p = 1 - np.searchsorted(zp, cuts, "left") / len(zp)
+        above_u = 1 - np.searchsorted(zu, cuts, "left") / len(zu)
+        doubt = sum(np.sqrt(np.log(4 / CONFIDENCE) / (2 * len(z))) for z in (zp, zu))
+        best = np.argmin((above_u + doubt) / above_p)
+        shares.append(above_u[best] / above_p[best])
+    return float(np.clip(np.mean(shares), 0.01, 1.0))
+
+
 def fold(id_col: str) -> Column:
     """The fold of a row, from its id alone; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % HELD_OUT, F.lit(0))
@@ -179,9 +223,11 @@ def train(
 
     The positives are up to ``max_positive`` documents labelled 1, the unlabelled texts up
     to ``max_unlabelled`` documents of any kind, each chosen by the hash of their id; of rows
-    that repeat an id, the one with the smallest features stands for it. The class prior is estimated by the share of 1 among all labels outside the
-    held-out fold. The two id lists have that documented bound; they are what is
-    broadcast, and their features are what comes to the driver.
+    that repeat an id, the one with the smallest features stands for it. The class prior is
+    the share of 1 among all labels outside the held-out fold; where these mark nothing but
+    positives, it is estimated from the two samples by ``mixture_share``. The two id lists
+    have that documented bound; they are what is broadcast, and their features are what
+    comes to the driver.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -213,6 +259,8 @@ def train(
     rows = rows.assign(bytes_=[np.asarray(x, np.float32).tobytes() for x in rows["x"]]).sort_values(["id", "bytes_"])
     matrix = np.array(list(rows["x"]), np.float32).reshape(-1, len(FEATURES))
     is_p, is_u = (rows["p"] == True).to_numpy(bool), (rows["u"] == True).to_numpy(bool)  # noqa: E712
+    if prior == 1.0:
+        prior = mixture_share(matrix[is_p], matrix[is_u])
     return fit(matrix[is_p], matrix[is_u], prior)
 
 

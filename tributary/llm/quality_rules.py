@@ -87,8 +87,8 @@ def host_rules(
     the three named are not read, so they cannot clash. An empty table gives no rows.
 
     Hosts are aggregated map-side before they shuffle, so a host with a third of the rows
-    is one partial row per task. What joins back has one row per host; Spark broadcasts
-    it below its own size limit and can split a hot host otherwise.
+    is one partial row per task. What joins back is stored, with one row per host; Spark
+    broadcasts it below its own size limit and can split a hot host otherwise.
     """
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text")
@@ -112,6 +112,7 @@ def host_verdicts(counted: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """
     failures = [F.sum(F.when(F.expr(rule), 1).otherwise(0)).alias(f"f_{name}") for name, rule in RULES.items()]
     hosts = counted.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n"), *failures)
+    hosts = stored(hosts, "hosts")
     moments = []
     for name in RULES:
         rate = F.col(f"f_{name}") / F.col("n")

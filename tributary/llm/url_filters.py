@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
+from tributary.llm.names import quoted, unused
+from tributary.operators.aggregates import collapse
 from tributary.sources.scratch import stored
 
 #: Intervals of a pattern that share a time bucket, on average.
 PER_BUCKET = 16
+#: Entries of a pattern that share a segment of its history, on average.
+PER_SEGMENT = 256
 
 
 def host_of(url: Column) -> Column:
@@ -45,18 +49,25 @@ def validity(entries: DataFrame) -> DataFrame:
     pattern at one moment the one with the largest id counts. Intervals in which the
     pattern is not listed are dropped after they have ended the ones before. Entries with
     a null in pattern, time or ``listed`` are ignored.
+
+    A pattern's history is cut into segments of time, so that a popular pattern is not one
+    task's work. Inside a segment an entry ends where the next begins; the last one ends
+    where the next segment with entries begins, which is taken from one row per segment.
     """
     usable = entries.where("pattern is not null and at is not null and listed is not null")
     last = usable.groupBy("pattern", "at").agg(F.max(F.struct("entry_id", "listed")).alias("e"))
-    follows = Window.partitionBy("pattern").orderBy("at")
-    spans = last.select(
-        "pattern",
-        F.col("at").alias("start"),
-        F.lead("at").over(follows).alias("end"),
-        F.col("e.entry_id").alias("entry_id"),
-        F.col("e.listed").alias("listed"),
-    )
-    return spans.where("listed").drop("listed")
+    last = stored(last.select("pattern", "at", "e.entry_id", "e.listed"), "entries")
+    reach = collapse(last, "pattern", t0=F.min("at"), t1=F.max("at"), n=F.count(F.lit(1)))
+    width = F.floor((F.col("t1") - F.col("t0")) / F.ceil(F.col("n") / PER_SEGMENT)) + 1
+    reach = reach.select("pattern", "t0", width.alias("width"))
+    cut = last.join(reach, "pattern").select(*last.columns, F.floor((F.col("at") - F.col("t0")) / F.col("width")).alias("segment"))
+    cut = stored(cut, "segments")
+    begins = cut.groupBy("pattern", "segment").agg(F.min("at").alias("at"))
+    following = F.lead("at").over(Window.partitionBy("pattern").orderBy("segment"))
+    begins = stored(begins.select("pattern", "segment", following.alias("after")), "begins")
+    inside = F.lead("at").over(Window.partitionBy("pattern", "segment").orderBy("at"))
+    spans = cut.withColumn("inside", inside).join(begins, ["pattern", "segment"])
+    return spans.where("listed").select("pattern", F.col("at").alias("start"), F.coalesce("inside", "after").alias("end"), "entry_id")
 
 
 def active_entries(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
@@ -70,8 +81,8 @@ def active_entries(captures: DataFrame, entries: DataFrame, url_col: str = "url"
     are stored first: on top of an aggregate or window of the same stage it could not.
     """
     spans = stored(validity(entries), "spans")
-    shape = spans.groupBy("pattern").agg(
-        F.min("start").alias("t0"), F.max("start").alias("t1"), F.ceil(F.count(F.lit(1)) / PER_BUCKET).alias("buckets")
+    shape = collapse(
+        spans, "pattern", t0=F.min("start"), t1=F.max("start"), buckets=F.ceil(F.count(F.lit(1)) / PER_BUCKET)
     ).withColumn("width", F.floor((F.col("t1") - F.col("t0")) / F.col("buckets")) + 1)
     shape = stored(shape, "shape")
 
@@ -81,7 +92,7 @@ def active_entries(captures: DataFrame, entries: DataFrame, url_col: str = "url"
     cut = spans.join(shape, "pattern").withColumn(
         "bucket", F.explode(F.sequence(bucket(F.col("start")), F.coalesce(bucket(F.col("end")), F.col("buckets") - 1)))
     ).select("pattern", "bucket", "start", "end", "entry_id")
-    seen = captures.select(F.col(url_col).alias("url"), F.col(time_col).cast("long").alias("fetched_at")).distinct()
+    seen = captures.select(F.col(quoted(url_col)).alias("url"), F.col(quoted(time_col)).cast("long").alias("fetched_at")).distinct()
     keyed = seen.withColumn("pattern", F.explode(lookup_keys(F.col("url"), host_of(F.col("url")))))
     placed = keyed.join(shape, "pattern").where(F.col("fetched_at") >= F.col("t0"))
     placed = placed.select("url", "fetched_at", "pattern", bucket(F.col("fetched_at")).alias("bucket"))
@@ -93,20 +104,24 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", t
     """``captures`` with ``blocked``, ``n_active`` and ``first_entry`` (smallest active id).
 
     Times are whole seconds. A capture without an URL, host or time is not blocked. Every
-    row stays, repeated ones too. Columns of these names in ``captures`` are replaced.
+    row stays, repeated ones too. Columns of these names in ``captures`` are replaced, all
+    others pass, whatever their names. Captures without an URL or time take no part in the
+    join, and those of a frequent URL can be split among tasks there.
     """
     active = active_entries(captures, entries, url_col, time_col)
-    verdict = active.groupBy("url", "fetched_at").agg(F.count(F.lit(1)).alias("n"), F.min("entry_id").alias("e"))
-    verdict = verdict.select(F.col("url").alias("_url"), F.col("fetched_at").alias("_at"), F.col("n").alias("_n"), F.col("e").alias("_e"))
-    same = (F.col(url_col) == F.col("_url")) & (F.col(time_col).cast("long") == F.col("_at"))
-    return (
-        captures.drop("blocked", "n_active", "first_entry")
-        .join(verdict, same, "left")
-        .withColumn("n_active", F.coalesce("_n", F.lit(0)).cast("long"))
-        .withColumn("first_entry", F.col("_e"))
-        .withColumn("blocked", F.col("n_active") > 0)
-        .drop("_url", "_at", "_n", "_e")
-    )
+    captures = captures.drop("blocked", "n_active", "first_entry")
+    url, moment = F.col(quoted(url_col)), F.col(quoted(time_col)).cast("long")
+    names = unused(captures, "url_", "at_", "n_", "e_")
+    verdict = collapse(active, ["url", "fetched_at"], n=F.count(F.lit(1)), e=F.min("entry_id"))
+    verdict = verdict.toDF(*names)
+    known = url.isNotNull() & moment.isNotNull()
+    same = (url == F.col(names[0])) & (moment == F.col(names[1]))
+    none = [F.lit(None).cast("long").alias(name) for name in names[2:]]
+    judged = captures.where(known).join(verdict, same, "left").drop(*names[:2])
+    judged = judged.unionByName(captures.where(~known).select("*", *none))
+    n_active = F.coalesce(names[2], F.lit(0)).cast("long")
+    columns = {"n_active": n_active, "first_entry": F.col(names[3]), "blocked": n_active > 0}
+    return judged.withColumns(columns).drop(*names[2:])
 
 
 def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tributary.operators.aggregates import collapse
 from tributary.sources.scratch import scratch_dir
 
 #: Payloads shorter than this are never written as revisits.
@@ -39,7 +40,8 @@ def write_archive(
     archive.
 
     The payloads pass one exchange, reduced to one row per digest map-side. The choice of
-    the response groups digests and ids only.
+    the response groups digests and ids only, and the rows of a frequent payload can be
+    split where they meet it.
     """
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
     rows = pages.select(
@@ -53,7 +55,7 @@ def write_archive(
     payloads.write.parquet(f"{folder}/payloads")
 
     sized = rows.select("id", "url", "date", "digest", F.octet_length("payload").alias("size"))
-    first = sized.where(F.col("size") >= min_shared_bytes).groupBy("digest").agg(F.min("id").alias("first"))
+    first = collapse(sized.where(F.col("size") >= min_shared_bytes), "digest", first=F.min("id"))
     typed = sized.join(first, "digest", "left").withColumn(
         "refers", F.when(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first"))
     )

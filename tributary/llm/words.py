@@ -1,8 +1,9 @@
 """Words and word n-grams of many texts at once, as numpy arrays over Arrow buffers.
 
-A word is a run of bytes other than space and 0x09-0x0D. Words are hashed to 64 bits by a
-polynomial over random byte values, so equal words agree on every executor. Only about
-``SPAN`` bytes are expanded to eight-byte numbers at a time, whatever the text's length.
+A word is a run of bytes other than space and 0x09-0x0D. Words are hashed to 64 bits, the
+same on every executor: eight bytes at a time are mixed in by a one-to-one step, so words of
+up to seven bytes never share a hash, and no pattern in longer ones makes them do so. (A
+polynomial modulo 2**64 does not serve: whatever its base, long Thue-Morse words collide.)
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-SPAN = 1 << 18
 #: Rows are handled in slices of about so many bytes of text.
 SLICE_BYTES = 2 << 20
 
@@ -22,22 +23,10 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_random = np.random.default_rng(20240501)
-_BYTES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_PLACES = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the base and of its inverse modulo 2**64."""
-    if len(_powers["up"]) <= n:
-        size = max(n + 1, SPAN + 64)
-        for way, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[way] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
+_PLACES = np.random.default_rng(20240501).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words up to so many bytes are hashed side by side, longer ones each by xxHash.
+SIDE_BY_SIDE = 32
+_EIGHT = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,19 +84,21 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash per word; with ``lower``, A-Z count as a-z."""
-        out = np.empty(len(self.starts), np.uint64)
-        i = 0
-        while i < len(out):
-            first = self.starts[i]
-            j = max(int(np.searchsorted(self.ends, first + SPAN, "right")), i + 1)
-            part = self.data[first : self.ends[j - 1]]
-            up, down = _power_table(len(part))
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_BYTES[LOWER[part] if lower else part] * up[: len(part)], out=sums[1:])
-            a = self.starts[i:j] - first
-            out[i:j] = (sums[self.ends[i:j] - first] - sums[a]) * down[a]
-            i = j
-        return mix(out)
+        data = LOWER[self.data] if lower else self.data
+        padded = np.concatenate((data, np.zeros(8, np.uint8)))
+        eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # those that begin at each byte
+        sizes = self.ends - self.starts
+        out = sizes.astype(np.uint64) << np.uint64(56)
+        open_ = np.flatnonzero(sizes <= SIDE_BY_SIDE)
+        for place in range(0, SIDE_BY_SIDE, 8):
+            open_ = open_[sizes[open_] > place]
+            if not len(open_):
+                break
+            held = eights[self.starts[open_] + place] & _EIGHT[np.minimum(sizes[open_] - place, 8)]
+            out[open_] = mix(out[open_] ^ held)
+        for i in np.flatnonzero(sizes > SIDE_BY_SIDE):
+            out[i] = xxhash.xxh3_64_intdigest(data[self.starts[i] : self.ends[i]])
+        return out
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
