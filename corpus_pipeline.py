@@ -10,20 +10,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tributary.llm import line_dedup, ngram_join, packing, pii
 from tributary.llm import quality_classifier as quality
+from tributary.llm.names import quoted, unused
 from tributary.sources.scratch import stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts; it is fitted on the labels beside the documents."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, model, out="_score")
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    [score] = unused(docs, "score")
+    scored = quality.score(docs, model, out=score)
+    return scored.where(F.col(score) >= quality.THRESHOLD).select(*map(quoted, docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that a later document holds as well."""
-    # Names the operator adds are taken off again unless the documents have them.
-    return _same_columns(docs, line_dedup.dedup_lines(_renamed(docs)))
+    # Columns that the operator replaces are carried under other names.
+    own = [name for name in docs.columns if name.lower() in ("n_lines", "n_dropped")]
+    names = dict(zip(own, unused(docs, *(f"own_{name}" for name in own))))
+    found = line_dedup.dedup_lines(docs.withColumnsRenamed(names)).drop("n_lines", "n_dropped")
+    return found.withColumnsRenamed({name: before for before, name in names.items()}).select(*map(quoted, docs.columns))
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +46,6 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack_documents(docs)
 
 
-def _renamed(docs: DataFrame) -> DataFrame:
-    return docs.toDF(*[name if name in ("doc_id", "text") else f"own_{name}" for name in docs.columns])
-
-
-def _same_columns(docs: DataFrame, result: DataFrame) -> DataFrame:
-    names = [name if name in ("doc_id", "text") else f"own_{name}" for name in docs.columns]
-    return result.select(*[F.col(name).alias(own) for name, own in zip(names, docs.columns)])
-
-
 STAGES = [
     ("quality_classifier", quality_classifier),
     ("line_dedup", line_dedup_stage),
