@@ -78,7 +78,7 @@ def test_every_query_is_registered():
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_query_against_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "events", "labels", "embeddings"):
+    for table in ("documents", "pages", "events", "labels", "embeddings", "conversations"):
         connection.execute(f"create view {table} as from '{SMALL}/{table}.parquet'")
     result = connection.execute(LLM_ORACLE[name])
     columns = [column[0] for column in result.description]

@@ -496,3 +496,76 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+#: The same by a dynamic programme: the least (cost, audit) of each state after each turn.
+ORACLE_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), kinds AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda crc, x: list_reduce(
+             [CAST(k AS BIGINT) FOR k IN range(8)], lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, x)),
+           CAST(4294967295 AS BIGINT))) % 20 AS kind
+  FROM src
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words
+  FROM damaged
+), turns AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN words = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(words, 1) IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault
+  FROM placed
+), inserts(q, after, cost, audit, lines) AS (
+  VALUES (0, 0, 0, '', []), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+         (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+         (2, 2, 0, '', []), (2, 3, 5, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])
+), edits(edit, q, initial, after, cost, role) AS (
+  VALUES ('D', 0, NULL, 0, 2, NULL), ('D', 1, NULL, 1, 2, NULL), ('D', 2, NULL, 2, 2, NULL), ('D', 3, NULL, 3, 2, NULL),
+         ('K', 0, 's', 1, 0, NULL), ('K', 0, 'u', 2, 0, NULL), ('K', 1, 'u', 2, 0, NULL),
+         ('K', 2, 'a', 3, 0, NULL), ('K', 3, 'u', 2, 0, NULL),
+         ('R', 0, NULL, 2, 1, 'user'), ('R', 1, NULL, 2, 1, 'user'), ('R', 2, NULL, 3, 1, 'assistant'), ('R', 3, NULL, 2, 1, 'user')
+), paths AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, struct_pack(cost := CAST(0 AS BIGINT), audit := '') AS best,
+         CAST([] AS VARCHAR[]) AS lines FROM turns
+  UNION ALL
+  SELECT conv_id, i, q, min(best), arg_min(lines, best) FROM (
+    SELECT p.conv_id, t.i, e.after AS q,
+           struct_pack(cost := p.best.cost + n.cost + e.cost + CASE WHEN e.edit <> 'D' AND t.fault <> '' THEN 5 ELSE 0 END,
+                       audit := p.best.audit || n.audit || e.edit) AS best,
+           p.lines || n.lines || CASE WHEN e.edit = 'D' THEN [] ELSE [coalesce(e.role, t.role) || ':' || t.text] END AS lines
+    FROM paths p JOIN inserts n ON n.q = p.q
+    JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1
+    JOIN edits e ON e.q = n.after AND (e.initial IS NULL OR e.initial = t.initial)
+         AND (e.edit = 'D' OR t.fault IN ('', 'truncated'))
+  ) GROUP BY conv_id, i, q
+), ends AS (
+  SELECT p.conv_id, min(struct_pack(cost := best.cost + n.cost, audit := best.audit || n.audit)) AS best,
+         arg_min(p.lines || n.lines, struct_pack(cost := best.cost + n.cost, audit := best.audit || n.audit)) AS lines
+  FROM paths p JOIN inserts n ON n.q = p.q
+  JOIN (SELECT conv_id, max(i) AS i FROM turns GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM p.conv_id AND l.i = p.i
+  WHERE n.after IN (0, 3) GROUP BY p.conv_id
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

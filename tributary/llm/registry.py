@@ -39,5 +39,6 @@ LLM_ORACLE = {
     "op8_line_dedup": line_dedup.ORACLE_SQL,
     "op9_url_filters": url_filters.ORACLE_SQL,
     "op10_warc_archive": warc_archive.ORACLE_SQL,
+    "op11_conversation_repair": conversation_repair.ORACLE_SQL,
     "op13_centroid_clustering": centroid_clustering.ORACLE_SQL,
 }
