@@ -5,6 +5,7 @@ from conftest import values
 
 from tributary.plans.models import MODELS, SUBSETS, build, model
 from tributary.plans.quality import run_checks
+from tributary.plans.run import stored
 from tributary.sources import star_schema
 from tributary.sources.tables import (
     SOURCE_TABLES,
@@ -51,6 +52,40 @@ def test_one_mart_alone_and_again(spark, load, database):
     assert values(built["fct_daily_sales"]) == values(model("fct_daily_sales", load))
 
 
+def test_layers_have_databases_of_their_own(spark, load, database):
+    try:
+        built = build(spark, load, database, SUBSETS["sensors"], layered=True)
+        tables = {
+            f"{part}.{table.name}"
+            for part in ("staging", "intermediate", "marts")
+            if spark.catalog.databaseExists(f"{database}_{part}")
+            for table in spark.catalog.listTables(f"{database}_{part}")
+            if not table.isTemporary
+        }
+        assert tables == {
+            "staging.stg_hidro_mediciones", "marts.mart_hidro_resumen", "marts.mart_hidro_calidad",
+        }
+        assert [t for t in spark.catalog.listTables(database) if not t.isTemporary] == []
+        found = stored(spark, database, layered=True)
+        assert values(found["mart_hidro_calidad"]) == values(built["mart_hidro_calidad"])
+    finally:
+        for part in ("staging", "marts"):
+            spark.sql(f"DROP DATABASE IF EXISTS {database}_{part} CASCADE")
+
+
+def test_a_failing_model_stops_only_what_reads_it(spark, load, database):
+    def without_orders(name):
+        if name == "orders":
+            raise OSError("no orders today")
+        return load(name)
+
+    names = ["stg_orders", "fct_daily_sales", "fct_product_performance", "mart_hidro_calidad"]
+    with pytest.raises(OSError, match="no orders today"):
+        build(spark, without_orders, database, names)
+    tables = {table.name for table in spark.catalog.listTables(database) if not table.isTemporary}
+    assert tables == {"fct_product_performance", "mart_hidro_calidad"}
+
+
 def test_unknown_names(spark, load, database):
     with pytest.raises(KeyError, match="no_such"):
         build(spark, load, database, ["no_such"])

@@ -23,6 +23,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument(
         "--keep", nargs="*", help="models to store besides the marts (default: all that are chosen)"
     )
+    parser.add_argument(
+        "--layered",
+        action="store_true",
+        help="store staging, intermediate and mart models in databases <database>_<layer>",
+    )
     parser.add_argument(
         "--whole-files", action="store_true", help="a file is one JSON value, not one per line"
     )
@@ -49,14 +54,15 @@ def main(argv: list[str] | None = None) -> int:
             landed = load_stations(spark, stations, given.database, whole_files=given.whole_files)
             outcomes = landed.collect()
         elif given.command == "run":
-            build(spark, load, given.database, names, keep)
+            build(spark, load, given.database, names, keep, layered=given.layered)
             outcomes = []
         elif given.command == "test":
-            outcomes = check(load, names, stored(spark, given.database))
+            outcomes = check(load, names, stored(spark, given.database, given.layered))
         else:
             outcomes = run(
-                spark, load, given.database, stations, names, keep, given.whole_files
-            )
+                spark, load, given.database, stations, names, keep, given.whole_files,
+                layered=given.layered,
+            )
     except ChecksFailed as problem:
         failed, outcomes = problem, problem.outcomes
     for outcome in outcomes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -63,6 +64,9 @@ MODELS = {
 # Models that several others read and that are expensive to make; stored unless told otherwise.
 SHARED = ("stg_hidro_mediciones",)
 
+# Models whose jobs run side by side.
+MODELS_AT_ONCE = 4
+
 # Subsets that are usually built together.
 SUBSETS = {
     "catalogue_and_activity": (
@@ -122,6 +126,17 @@ def model(name: str, load: Loader, in_order: bool = True) -> DataFrame:
     return _make(name, models_over(load), in_order)
 
 
+def layer(name: str) -> str:
+    """The layer a model belongs to: staging, intermediate or marts."""
+    prefix = name.split("_")[0]
+    return {"stg": "staging", "int": "intermediate"}.get(prefix, "marts")
+
+
+def table_of(name: str, database: str, layered: bool = False) -> str:
+    """Where a model is stored; ``layered`` gives each layer a database ``<database>_<layer>``."""
+    return f"{database}_{layer(name)}.{name}" if layered else f"{database}.{name}"
+
+
 def build(
     spark: SparkSession,
     load: Loader,
@@ -129,36 +144,49 @@ def build(
     names: Iterable[str] | None = None,
     keep: Iterable[str] = SHARED,
     in_order: bool = False,
+    layered: bool = False,
 ) -> dict[str, DataFrame]:
     """Build models: marts as tables of ``database``, the others as temporary views.
 
     ``names`` restricts the build; models they depend on are computed as needed. A model
     in ``keep`` is stored although it is no mart, which pays when several marts read an
     expensive one; it also outlives the session, which a temporary view does not. What was
-    stored here is read back by the models that follow.
+    stored here is read back by the models that follow. With ``layered``, staging,
+    intermediate and mart tables go to databases of their own, made where they are missing.
+
+    Models that do not read each other are built side by side, so that a small one does not
+    leave a cluster idle. If one fails, the others are still built, except those that read
+    it, and the failure is raised at the end.
     """
     wanted = set(MODELS) if names is None else set(names)
     keep = set(keep)
     unknown = sorted((wanted | keep) - set(MODELS))
     if unknown:
         raise KeyError(f"unknown models: {', '.join(unknown)}")
-    built: dict[str, DataFrame] = {}
+    # MODELS lists every model after those it reads, so a model that waits for another one
+    # never keeps it from being started.
+    chosen = [name for name in MODELS if name in wanted]
+    kept = {name for name in chosen if MODELS[name].stored or name in keep}
+    if layered:
+        for used in sorted({layer(name) for name in kept}):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}_{used}")
+    building: dict[str, Future[DataFrame]] = {}
 
     def get(name: str) -> DataFrame:
-        if name in built:
-            return built[name]
+        if name in building:
+            return building[name].result()
         return _make(name, get, in_order=False) if name in MODELS else load(name)
 
-    # MODELS lists every model after those it reads.
-    for name, chosen in MODELS.items():
-        if name not in wanted:
-            continue
-        stored = chosen.stored or name in keep
-        df = _make(name, get, in_order and stored)
-        if stored:
-            full_refresh(df, f"{database}.{name}")
-            df = spark.table(f"{database}.{name}")
-        else:
+    def make(name: str) -> DataFrame:
+        df = _make(name, get, in_order and name in kept)
+        if name not in kept:
             df.createOrReplaceTempView(name)
-        built[name] = df
-    return built
+            return df
+        table = table_of(name, database, layered)
+        full_refresh(df, table)
+        return spark.table(table)
+
+    with ThreadPoolExecutor(max_workers=MODELS_AT_ONCE) as pool:
+        for name in chosen:
+            building[name] = pool.submit(make, name)
+    return {name: made.result() for name, made in building.items()}

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.plans.models import MODELS, SUBSETS, build, models_over
+from tributary.plans.models import MODELS, SUBSETS, build, models_over, table_of
 from tributary.plans.quality import CHECKS, enforce, run_checks
 from tributary.sources.ingest import load_stations
 from tributary.sources.tables import Loader
@@ -43,9 +43,9 @@ def check(
     return enforce(results, before)
 
 
-def stored(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """The models that exist as tables of ``database``."""
-    tables = {name: f"{database}.{name}" for name in MODELS}
+def stored(spark: SparkSession, database: str, layered: bool = False) -> dict[str, DataFrame]:
+    """The models that exist as tables of ``database``, or of its layers' databases."""
+    tables = {name: table_of(name, database, layered) for name in MODELS}
     return {
         name: spark.table(table)
         for name, table in tables.items()
@@ -63,6 +63,7 @@ def run(
     whole_files: bool = False,
     transform: bool = True,
     test: bool = True,
+    layered: bool = False,
 ) -> list:
     """Ingest ``stations`` into ``database``, build models there and check them.
 
@@ -74,7 +75,7 @@ def run(
     if stations:
         outcomes += load_stations(spark, stations, database, whole_files=whole_files).collect()
     chosen = None if names is None else select(names)
-    built = build(spark, load, database, chosen, keep) if transform else {}
+    built = build(spark, load, database, chosen, keep, layered=layered) if transform else {}
     if test:
         outcomes += check(load, chosen, built, outcomes)
     return outcomes
