@@ -283,7 +283,9 @@ def repeated_lines(state: State) -> DataFrame:
     passes is confirmed against the exact counts.
     """
     refs = state.refs.select(shard_of(max(state.shards, 1)), "key", "doc_id")
-    sizes = collapse(refs, "shard", parts=F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("int"))
+    # Stored, so that its size is known when the join is planned: a row per shard is small
+    # enough to be sent around, and the references need not move to meet it.
+    sizes = stored(refs.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("int").alias("parts")), "sizes")
     part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part")
     probes = refs.join(sizes, "shard").select("shard", part, "key", "doc_id")
     copies = state.filters.join(sizes, "shard").select(

@@ -59,7 +59,7 @@ def validity(entries: DataFrame) -> DataFrame:
     last = stored(last.select("pattern", "at", "e.entry_id", "e.listed"), "entries")
     reach = collapse(last, "pattern", t0=F.min("at"), t1=F.max("at"), n=F.count(F.lit(1)))
     width = F.floor((F.col("t1") - F.col("t0")) / F.ceil(F.col("n") / PER_SEGMENT)) + 1
-    reach = reach.select("pattern", "t0", width.alias("width"))
+    reach = stored(reach.select("pattern", "t0", width.alias("width")), "reach")
     cut = last.join(reach, "pattern").select(*last.columns, F.floor((F.col("at") - F.col("t0")) / F.col("width")).alias("segment"))
     cut = stored(cut, "segments")
     begins = cut.groupBy("pattern", "segment").agg(F.min("at").alias("at"))
