@@ -33,7 +33,7 @@ SKETCH_BITS = 17
 TILE_DOCS = 1_000
 TILE_GRAMS = 2_000_000
 #: Pairs of classes, ordered ones, that one task screens on average.
-TASK_PAIRS = 8_000_000
+TASK_PAIRS = 250_000
 #: Columns that are multiplied at once.
 COLUMNS = 2_048
 #: Hash classes whose sizes screen pairs: for all sets, and for sets of MANY n-grams or more.
