@@ -37,6 +37,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers, the first it meets.
 REMEMBERED = 400_000
 K1, B = 1.2, 0.75
+#: A piece of a document, and what is left of one for the next round.
+PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+TAIL = "row long, place long, first long, n long, ids binary"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -108,29 +111,43 @@ def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, row, place, n, ids) of each row: its tokens and END, and a place for sharding.
+def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, window: int = WINDOW) -> DataFrame:
+    """The full windows of each row's tokens as pieces, and the rest of its tokens.
 
-    Null counts as empty and has END alone. ``place`` is the smallest hash of the text's
-    words, which texts share in proportion to the words they share; ``row`` is different
-    for every row, that of copies too.
+    A row's tokens are those of its text and END; null counts as empty and has END alone.
+    A full window is a sequence of its own and needs no more than its checksum. The rest is
+    a row with ``ids``: its ``row`` number, different for every row, that of copies too; a
+    ``place`` for sharding; the tokens before it and all tokens of the text. ``place`` is
+    the smallest hash of the text's words, which texts share in proportion to the words
+    they share.
     """
     path = path or vocabulary_path()
+    names = ["doc_id", *_names(PIECES), *_names(TAIL)]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], "<u2").tobytes()
         row = TaskContext.get().partitionId() << 33
+        number = (1 << 62) + (TaskContext.get().partitionId() << 36)
         for batch in batches:
             own = tokenizer(path)
-            ids = [own.encode((text.as_py() or "").encode()) + end for text in batch["text"]]
-            places = [_place(np.frombuffer(x, "<u2")) for x in ids]
-            rows = pa.array(np.arange(row, row + len(ids)))
-            row += len(ids)
-            columns = [batch["doc_id"], rows, pa.array(places, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "place", "n", "ids"])
+            owners, rows = [], []
+            for i, text in enumerate(batch["text"]):
+                ids = np.frombuffer(own.encode((text.as_py() or "").encode()) + end, "<u2")
+                first = len(ids) // window * window
+                for start in range(0, first, window):
+                    rows.append((start, window, _crc(ids[start : start + window]), len(ids), number, 0, *[None] * 5))
+                    number += 1
+                if len(ids) > first:
+                    rows.append((*[None] * 6, row + i, _place(ids), first, len(ids), ids[first:].tobytes()))
+                owners += [i] * (len(rows) - len(owners))
+            row += batch.num_rows
+            if rows:
+                kinds = [*[pa.int64()] * 10, pa.binary()]
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(owners)), *columns], names=names)
 
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
-    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, place long, n long, ids binary")
+    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PIECES}, {TAIL}")
 
 
 _random = np.random.default_rng(11)
@@ -161,7 +178,17 @@ class Shard:
         weight = idf[terms] * counts * (K1 + 1) / (counts + norm[owner])
         self.owner, self.weight = owner[order], weight[order]
         self.begin = np.concatenate(([0], np.cumsum(held)))
-        self.size = len(texts)
+        self.size = self.held = len(texts)
+
+    def keep(self, unused: np.ndarray) -> None:
+        """Forget the postings of used texts, once they are a quarter of those it holds."""
+        left = int(np.count_nonzero(unused))
+        if left > 0.75 * self.held:
+            return
+        kept = unused[self.owner]
+        before = np.concatenate(([0], np.cumsum(kept)))
+        self.owner, self.weight, self.begin = self.owner[kept], self.weight[kept], before[self.begin]
+        self.held = left
 
     def scores(self, text: int) -> np.ndarray:
         """The BM25 score of every text for the terms of one, in a term's posting order."""
@@ -174,7 +201,8 @@ class Shard:
 def pack_shard(texts: list[np.ndarray], window: int = WINDOW, last: bool = True) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
     """Sequences of (text, start, length) that fill windows, and what is left over.
 
-    A text's full windows come first, by themselves. Its rest is a seed or a neighbour.
+    A text's full windows, if it has any, come first, by themselves. Its rest is a seed or
+    a neighbour.
     With ``last``, the final tokens, too few for a window, go into sequences of powers of
     two, which need no padding; else they are left over for the next round.
     """
@@ -208,6 +236,7 @@ def pack_shard(texts: list[np.ndarray], window: int = WINDOW, last: bool = True)
         room = window
         take(seed)
         if room:
+            index.keep(unused)
             scores = np.where(unused, index.scores(seed), -1.0)
             for number in np.argsort(-scores, kind="stable"):
                 if not room or scores[number] < 0:
@@ -225,12 +254,8 @@ def pack_shard(texts: list[np.ndarray], window: int = WINDOW, last: bool = True)
     return sequences, []
 
 
-PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-TAIL = "row long, place long, first long, n long, ids binary"
-
-
 def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Pieces of tokenized documents (doc_id, row, place, n, ids) in sequences of ``window``.
+    """Pieces of documents as ``tokenize`` gives them, in sequences of ``window`` tokens.
 
     Every token is in exactly one piece. Sequences hold ``window`` tokens, except the very
     last ones, which hold powers of two. A shard's texts are one group of bounded size, in
@@ -238,20 +263,15 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
     leaves less than a window of each shard's tokens to the next.
     """
     shard_tokens = max(shard_tokens, 4 * window)  # so that a round leaves half of it at most
-    doc_id = f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}"
-    schema = f"{doc_id}, {PIECES}, {TAIL}"
-    tokens = tokens.withColumn("first", F.expr(f"n - n % {window}"))
-    full = tokens.where("first > 0").select("doc_id", "n", "first", "ids")
-    pieces = [full.mapInArrow(_full_windows(window), f"{doc_id}, {PIECES}")]
-    rests = tokens.where("n > first").withColumn("ids", F.expr("substring(ids, CAST(2 * first + 1 AS INT))"))
-    final = False
-    turn = 0
+    pieces, turn, final = [], 0, False
     while not final:
-        sharded, final = _sharded(rests.select("doc_id", *_names(TAIL)), shard_tokens)
-        packed = stored(sharded.groupBy("shard").applyInArrow(_pack_rests(window, turn, final), schema), "packed")
-        pieces.append(packed.where("ids IS NULL").select("doc_id", *_names(PIECES)))
-        rests = packed.where("ids IS NOT NULL")
+        pieces.append(tokens.where("ids IS NULL").select("doc_id", *_names(PIECES)))
+        rests = tokens.where("ids IS NOT NULL").select("doc_id", *_names(TAIL))
+        sharded, final = _sharded(rests, shard_tokens)
+        packed = sharded.groupBy("shard").applyInArrow(_pack_rests(window, turn, final), tokens.schema)
+        tokens = stored(packed, "packed")
         turn += 1
+    pieces.append(tokens.select("doc_id", *_names(PIECES)))
     return reduce(DataFrame.unionByName, pieces)
 
 
@@ -284,28 +304,6 @@ def _sharded(rests: DataFrame, shard_tokens: int) -> tuple[DataFrame, bool]:
     return sharded.drop("span", "parts"), shard <= 0
 
 
-def _full_windows(window: int):
-    """Pieces of the full windows that texts hold, each a sequence of its own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = (1 << 62) + (TaskContext.get().partitionId() << 36)
-        for batch in batches:
-            taken, rows = [], []
-            for i in range(batch.num_rows):
-                n, first, ids = (batch.column(place)[i].as_py() for place in (1, 2, 3))
-                ids = np.frombuffer(ids, "<u2")
-                for start in range(0, first, window):
-                    rows.append((start, window, _crc(ids[start : start + window]), n, number, 0))
-                    taken.append(i)
-                    number += 1
-            columns = [pa.array(column, pa.int64()) for column in zip(*rows)]
-            if rows:
-                ids = batch.column(0).take(pa.array(taken))
-                yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", *_names(PIECES)])
-
-    return run
-
-
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -348,7 +346,7 @@ def pack_documents(
     and has at least the END token. Columns other than the two named are not read. The
     tokens are stored once in the shared folder, as two bytes each.
     """
-    return pack(stored(tokenize(docs, id_col, text_col, path), "tokens"), window, shard_tokens)
+    return pack(stored(tokenize(docs, id_col, text_col, path, window), "tokens"), window, shard_tokens)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
