@@ -221,7 +221,8 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts of up to ``leaf`` code points are encoded where they are read. Longer ones go
     through the tree by distinct text and join back by its SHA-256, where one side has a
     row per key. Null counts as empty and has no tokens. Every row gives a row, repeated
-    ids and rows too; columns other than the two named are not read.
+    ids and rows too; columns other than the two named are not read. An empty table gives
+    no rows.
     """
     path = path or vocabulary_path()
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

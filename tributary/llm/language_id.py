@@ -220,7 +220,7 @@ _built: dict[str, list[Parser]] = {}
 
 
 def _parsers(references: dict[str, bytes]) -> list[Parser]:
-    """The parsers of a model, built once by each Python worker."""
+    """The parsers of a model, built once by each Python worker: about 20 MB for each language."""
     key = xxhash.xxh128_hexdigest(repr(sorted(references.items())))
     if key not in _built:
         _built.clear()
