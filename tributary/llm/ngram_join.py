@@ -32,8 +32,9 @@ SKETCH_BITS = 17
 #: Bounds of a tile of a block: classes, and n-grams in their sets.
 TILE_DOCS = 1_000
 TILE_GRAMS = 2_000_000
-#: Pairs of classes, ordered ones, that one task screens on average.
-TASK_PAIRS = 250_000
+#: Pairs of classes, ordered ones, that one task screens on average, and the least number
+#: of tasks they are dealt to.
+TASK_PAIRS, MIN_TASKS = 20_000, 256
 #: Columns that are multiplied at once.
 COLUMNS = 2_048
 #: Hash classes whose sizes screen pairs: for all sets, and for sets of MANY n-grams or more.
@@ -302,7 +303,7 @@ def ngram_components(
     # Tiles are dealt out by their pairs, not by their bytes: a tile's work is the square of
     # its rows. The number of tasks is given, so that adaptive execution leaves it alone.
     pairs = cut.groupBy(*tile).count().agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] or 0
-    tasks = max(1, math.ceil(pairs / TASK_PAIRS))
+    tasks = max(MIN_TASKS, math.ceil(pairs / TASK_PAIRS))
     met = cut.join(classes.select("rep", "n", "set_key", "shape"), "rep").repartition(tasks, *tile)
 
     def meet(key, group: pd.DataFrame) -> pd.DataFrame:
