@@ -15,7 +15,10 @@ import sys
 import time
 from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = str(Path(__file__).resolve().parent)
+sys.path.insert(0, HERE)
+# Python workers have to find the package as well, whatever folder the benchmark starts in.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH")]))
 
 from tributary import get_session  # noqa: E402
 from tributary.plans.models import MODELS  # noqa: E402
