@@ -39,6 +39,7 @@ MONTH_OF_ACTIVITY = """
     from {rows} group by all
 """
 
+# Measures with their limits.
 MEASURES = (
     ("nivel", "nivel_raw", "nivel_m", "nivel", 0, 30),
     ("conductividad", "conductividad_raw", "conductividad_us_cm", "conductividad", 0, 2000),

@@ -260,6 +260,7 @@ def mart_github_summary(int_github_activity: DataFrame, in_order: bool = True) -
 
 
 # --- water sensors ----------------------------------------------------------------
+# Limits and names of the classes.
 
 
 def level_condition(level: Column, usual: Column) -> Column:
@@ -388,6 +389,7 @@ def mart_hidro_calidad(stg_hidro_mediciones: DataFrame, in_order: bool = True) -
 
 
 # --- creature catalogue -----------------------------------------------------------
+# Limits and names of the classes.
 
 
 def power_tier(total: Column) -> Column:
