@@ -373,6 +373,46 @@ def test_spans_inside_failed_matches_are_found(documents):
     assert [spelled[s:e] for kind, s, e in pii.loose_matches(spelled) if kind == "email"] == [spelled[3:-1]]
 
 
+def test_all_examples_train_and_calibrate(documents, monkeypatch):
+    monkeypatch.setattr(pii, "TREES", 8)
+    rng = random.Random(11)
+
+    def number(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    texts = [f"pay 4{number(15)} or {number(16)}, call +1 (555) {number(3)}-{number(4)} at {rng.randrange(300)}.2.3.{rng.randrange(300)}" for _ in range(2_200)]
+    examples = {}
+    for text in texts:
+        for mark, *known in pii.described(text):
+            examples[mark] = min(examples.get(mark, known), known)
+    assert len(examples) > 22_000
+    held = np.array([int(mark[-2:], 16) % 5 == 0 for mark in examples])
+    real = np.array([real for real, _ in examples.values()], float)
+    rows = np.array([x for _, x in examples.values()])
+    base, trees = pii.boost(rows[~held], real[~held])
+    scores = pii.Model(base, trees, {}).score(rows)
+    # Copies count once, and neither order nor partitions matter.
+    model = pii.train(documents(list(enumerate(texts[::-1] + texts[:200]))).repartition(5))
+    assert model.base == base and len(model.trees) == len(trees) == pii.TREES
+    assert all((a == b).all() for own, other in zip(model.trees, trees) for a, b in zip(own, other))
+    for number, kind in enumerate(pii.KINDS):
+        own = held & (rows[:, number] == 1) & (rows[:, pii.LOOSE] == 1)
+        assert model.thresholds[kind] == pii.calibrate(scores[own], real[own])
+    assert min(model.thresholds.values()) < 1
+
+
+def test_thresholds_of_many_scores_equal_those_in_memory(spark):
+    rng = np.random.default_rng(4)
+    rows = [(kind, round(float(rng.beta(5, 0.3)), 3 + 6 * kind), 1) for kind in range(3) for _ in range(2_000)]
+    rows = [(kind, score, n, int(rng.random() < score**0.2)) for kind, score, n in rows]
+    rows += [(0, 1.0, 50, 50), (0, 0.0, 3, 0)]
+    got = pii.thresholds_of(spark.createDataFrame(rows, "kind int, score double, total long, real long"), 0.97)
+    for kind in range(4):
+        scores = np.array([score for k, score, n, _ in rows if k == kind for _ in range(n)])
+        real = np.array([float(i < r) for k, _, n, r in rows if k == kind for i in range(n)])
+        assert got[pii.KINDS[kind]] == pii.calibrate(scores, real, 0.97)
+
+
 def test_redaction_keeps_the_rest(documents):
     rows = [(1, "to a@b.cc, +1 (555) 555-1234."), (2, None), (3, "")]
     got = {r.doc_id: r.text for r in pii.redact(documents(rows), FLAT).collect()}

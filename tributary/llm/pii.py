@@ -7,7 +7,8 @@ Boosted trees judge each from its format and its surroundings. They are trained
 matches and on what the same generators propose around those that pass their checks
 (digit sums, ranges, lengths), where these stand and where they are planted beside another
 number or spelled out. A threshold per kind, calibrated on held-back proposals, selects
-what is added, and of overlapping proposals the likeliest stays.
+what is added, and of overlapping proposals the likeliest stays. All examples of all texts
+train and calibrate: the trees grow from sums that Spark's tasks take over them.
 """
 
 from __future__ import annotations
@@ -15,23 +16,23 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tributary.llm.sampling import hashed_sample
-from tributary.sources.scratch import stored
+from tributary.sources.scratch import discard, stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the training sample: candidates with the smallest hashes.
-MAX_TRAINING = 20_000
 #: Share of held-back candidates above the threshold that must be real.
 PRECISION = 0.99
 TREES, DEPTH, LEARNING_RATE, BINS, MIN_LEAF = 40, 3, 0.2, 32, 20
+#: Probabilities are rounded to one part in so many, so that their sums over up to 2**33
+#: examples are exact and do not depend on how the examples are dealt to tasks.
+PARTS = 1 << 20
 #: Code points on either side that describe the surroundings.
 CONTEXT = 24
 #: Proposals of a text that are described at once.
@@ -300,46 +301,75 @@ class Model:
         return 1 / (1 + np.exp(-total))
 
 
-def _leaf(rows: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+def _leaf(rows: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     node = np.zeros(len(rows), np.int64)
-    for _ in range(DEPTH):
+    for _ in range(depth):
         node = 2 * node + 1 + (rows[np.arange(len(rows)), feature[node]] > cut[node])
-    return node - (2**DEPTH - 1)
+    return node - (2**depth - 1)
+
+
+#: Inner parts of the quantiles at which a feature may be cut.
+QUANTILES = [k / BINS for k in range(1, BINS)]
+
+
+def binned(rows: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """For each value, how many cuts of its feature lie below it."""
+    bins = np.zeros(rows.shape, np.uint8)
+    for f, values in enumerate(cuts):
+        bins[:, f] = np.searchsorted(values, rows[:, f], "left")
+    return bins
+
+
+def split_sums(bins: np.ndarray, total: np.ndarray, real: np.ndarray, model: Model, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Sums of gradient, weight and number, by node of the level, feature and bin.
+
+    A row stands for ``total`` examples, ``real`` of which are real. ``model`` is what has
+    grown so far and (``feature``, ``cut``) the tree at work, with cuts as numbers of bins.
+    """
+    p = model.score(bins)
+    gradient = real - total * (np.rint(p * PARTS) / PARTS)
+    weight = total * (np.rint(p * (1 - p) * PARTS) / PARTS)
+    width = bins.shape[1]
+    cells = ((_leaf(bins, feature, cut, level)[:, None] * width + np.arange(width)) * BINS + bins).ravel()
+    sums = [np.bincount(cells, np.repeat(own, width), 2**level * width * BINS) for own in (gradient, weight, total)]
+    return np.stack(sums, 1).reshape(2**level, width, BINS, 3)
+
+
+def grow(cuts: list[np.ndarray], total: int, real: int, sums: Callable[..., np.ndarray]) -> tuple[Model, tuple]:
+    """Trees for the log loss, with Newton steps in the leaves, from the ``split_sums`` of all examples.
+
+    ``sums`` gets the last four arguments of ``split_sums``. Returned are the model over
+    bins, and its trees with the values of ``cuts``.
+    """
+    rate = np.clip(real / total if total else 0.5, 1e-3, 1 - 1e-3)
+    model = Model(float(np.log(rate / (1 - rate))), (), {})
+    for _ in range(TREES if 0 < real < total else 0):
+        # No bin lies above the last.
+        feature, cut, leaves = np.zeros(2**DEPTH - 1, np.int64), np.full(2**DEPTH - 1, BINS), np.zeros(2**DEPTH)
+        for level in range(DEPTH):
+            for node, own in enumerate(sums(model, feature, cut, level)):
+                below = own.cumsum(1)
+                every = below[0, -1]
+                (g, h, n), (gs, hs, ns) = np.moveaxis(below, -1, 0), every
+                gain = g**2 / (h + 1) + (gs - g) ** 2 / (hs - h + 1) - gs**2 / (hs + 1)
+                gain[(n < MIN_LEAF) | (ns - n < MIN_LEAF)] = 0
+                f, k = np.unravel_index(gain.argmax(), gain.shape)
+                left = every
+                if gain[f, k] > 1e-9:
+                    feature[2**level - 1 + node], cut[2**level - 1 + node], left = f, k, below[f, k]
+                if level == DEPTH - 1:
+                    leaves[2 * node : 2 * node + 2] = [LEARNING_RATE * g / (h + 1) for g, h, _ in (left, every - left)]
+        model = Model(model.base, (*model.trees, (feature, cut, leaves)), {})
+    value = lambda f, k: cuts[f][k] if k < BINS else np.inf
+    return model, tuple((feature, np.array([*map(value, feature, cut)]), leaves) for feature, cut, leaves in model.trees)
 
 
 def boost(rows: np.ndarray, real: np.ndarray) -> tuple[float, tuple]:
-    """Trees for the log loss, with cuts at quantiles and Newton steps in the leaves."""
-    rate = np.clip(real.mean() if len(real) else 0.5, 1e-3, 1 - 1e-3)
-    base = float(np.log(rate / (1 - rate)))
-    total, trees = np.full(len(rows), base), []
-    cuts = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) if len(rows) else np.zeros(1) for f in range(rows.shape[1])]
-    binned = np.stack([np.searchsorted(c, rows[:, f], "left") for f, c in enumerate(cuts)], 1) if len(rows) else rows.astype(int)
-    for _ in range(TREES if 0 < real.sum() < len(real) else 0):
-        p = 1 / (1 + np.exp(-total))
-        gradient, weight = real - p, p * (1 - p)
-        feature, cut = np.zeros(2**DEPTH - 1, np.int64), np.full(2**DEPTH - 1, np.inf)
-        leaves, members = np.zeros(2**DEPTH), {0: np.arange(len(rows))}
-        for node in range(2**DEPTH - 1):
-            own = members.pop(node)
-            best = (1e-9, None, None)
-            for f, values in enumerate(cuts):
-                g = np.bincount(binned[own, f], gradient[own], len(values) + 1).cumsum()
-                h = np.bincount(binned[own, f], weight[own], len(values) + 1).cumsum()
-                n = np.bincount(binned[own, f], minlength=len(values) + 1).cumsum()
-                gain = g**2 / (h + 1) + (g[-1] - g) ** 2 / (h[-1] - h + 1) - g[-1] ** 2 / (h[-1] + 1)
-                gain[(n < MIN_LEAF) | (n[-1] - n < MIN_LEAF)] = 0
-                k = int(gain[:-1].argmax()) if len(values) else 0
-                if len(values) and gain[k] > best[0]:
-                    best = (gain[k], f, k)
-            if best[1] is not None:
-                feature[node], cut[node] = best[1], cuts[best[1]][best[2]]
-            above = rows[own, feature[node]] > cut[node]
-            members[2 * node + 1], members[2 * node + 2] = own[~above], own[above]
-        for node, own in members.items():
-            leaves[node - (2**DEPTH - 1)] = LEARNING_RATE * gradient[own].sum() / (weight[own].sum() + 1)
-        total += leaves[_leaf(rows, feature, cut)]
-        trees.append((feature, cut, leaves))
-    return base, tuple(trees)
+    """What ``grow`` returns for examples in memory, with cuts at quantiles."""
+    cuts = [np.unique(np.quantile(rows[:, f], QUANTILES)) if len(rows) else np.zeros(1) for f in range(rows.shape[1])]
+    bins, ones = binned(rows, cuts), np.ones(len(rows))
+    model, trees = grow(cuts, len(rows), real.sum(), lambda *grown: split_sums(bins, ones, real, *grown))
+    return model.base, trees
 
 
 def calibrate(scores: np.ndarray, real: np.ndarray, precision: float = PRECISION) -> float:
@@ -354,42 +384,109 @@ def calibrate(scores: np.ndarray, real: np.ndarray, precision: float = PRECISION
     return float(scores[order][good[-1]]) if len(good) else 2.0
 
 
-def train(docs: DataFrame, text_col: str = "text", max_training: int = MAX_TRAINING, precision: float = PRECISION) -> Model:
-    """Fit on the ``examples`` of all texts.
+def thresholds_of(scored: DataFrame, precision: float = PRECISION) -> dict[str, float]:
+    """``calibrate`` by kind, for rows of kind (its number), score, total and real.
 
-    The candidates of all texts are stored; at most ``max_training`` of them, chosen by a
-    hash of span and surroundings, come to the driver. Four fifths fit the trees, the
-    proposals of the rest calibrate them.
-    A kind without real proposals there gets no additions.
+    Scores are cut into slots by their log odds. What lies above a slot is summed over at
+    most 4,000 slots a kind, and what lies above a score over its slot.
+    """
+    ties = scored.groupBy("kind", "score").agg(F.sum("total").alias("total"), F.sum("real").alias("real"))
+    within = F.least(F.greatest("score", F.lit(1e-12)), F.lit(1 - 1e-12))
+    ties = stored(ties.withColumn("slot", F.floor(64 * F.log(within / (1 - within)))), "scores")
+    higher = Window.partitionBy("kind").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
+    slots = ties.groupBy("kind", "slot").agg(F.sum("total").alias("n"), F.sum("real").alias("k"))
+    slots = slots.select("kind", "slot", *[F.coalesce(F.sum(name).over(higher), F.lit(0)).alias(name) for name in "nk"])
+    upto = Window.partitionBy("kind", "slot").orderBy(F.desc("score"))
+    ranked = ties.join(F.broadcast(slots), ["kind", "slot"]).select(
+        "kind", "score", (F.col("k") + F.sum("real").over(upto)).alias("k"), (F.col("n") + F.sum("total").over(upto)).alias("n")
+    )
+    good = ranked.where(F.col("k") / F.col("n") >= precision).groupBy("kind").agg(F.min("score").alias("score")).collect()
+    discard(ties)
+    return dict.fromkeys(KINDS, 2.0) | {KINDS[row.kind]: row.score for row in good}
+
+
+def described(text: str) -> Iterator[tuple[str, bool, list[float]]]:
+    """(mark, real, FEATURES) of the ``examples``; equal spans in equal surroundings have one mark."""
+    for made, kind, start, end, loose, known in examples(text):
+        around = f"{loose}:{start - max(0, start - CONTEXT)}:{made[max(0, start - CONTEXT) : end + CONTEXT][:400]}:{end - start}"
+        mark = hashlib.blake2b(f"{kind}:{around}".encode(), digest_size=8).hexdigest()
+        yield mark, known, describe(made, kind, start, end, loose)
+
+
+def train(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> Model:
+    """Fit on the ``examples`` of all texts, each mark counting once.
+
+    All of them are used. Four fifths fit the trees, the proposals of the rest calibrate
+    them. Examples with equal bins are stored as one row with their numbers. For each level
+    of a tree the tasks sum up what its splits need, in arrays of 100 kB at most, which are
+    added in a tree if there are many; the driver gets these, the quantiles of the features
+    and the thresholds.
+    A kind without real proposals in the fifth gets no additions.
     """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, real, marks = [], [], []
-            for text in batch["text"]:
-                for made, kind, start, end, loose, known in examples(text.as_py() or ""):
-                    rows.append(describe(made, kind, start, end, loose))
-                    real.append(known)
-                    around = f"{loose}:{start - max(0, start - CONTEXT)}:{made[max(0, start - CONTEXT) : end + CONTEXT][:400]}:{end - start}"
-                    marks.append(hashlib.blake2b(f"{kind}:{around}".encode(), digest_size=8).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(marks, pa.string()), pa.array(real, pa.bool_()), pa.array(rows, pa.list_(pa.float64()))], names=["mark", "real", "x"]
-            )
+            found = [row for text in batch["text"] for row in described(text.as_py() or "")]
+            arrays = [pa.array([row[i] for row in found], kind) for i, kind in enumerate((pa.string(), pa.bool_(), pa.list_(pa.float64())))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["mark", "real", "x"])
 
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    found = stored(texts.mapInArrow(candidates, "mark string, real boolean, x array<double>"), "candidates")
-    sample = hashed_sample(found, max_training, "mark")
-    rows = np.array([row.x for row in sample], np.float64).reshape(-1, len(FEATURES))
-    real = np.array([row.real for row in sample], np.float64)
-    held = np.array([int(row.mark[-2:], 16) % 5 == 0 for row in sample], bool)
-    base, trees = boost(rows[~held], real[~held])
-    model = Model(base, trees, {})
-    scores = model.score(rows[held])
-    thresholds = {}
-    for number, kind in enumerate(KINDS):
-        own = (rows[held][:, number] == 1) & (rows[held][:, LOOSE] == 1)
-        thresholds[kind] = calibrate(scores[own], real[held][own], precision)
-    return Model(base, trees, thresholds)
+    found = texts.mapInArrow(candidates, "mark string, real boolean, x array<double>")
+    # Combined map-side: a group of copies of any size is one row.
+    marked = found.groupBy("mark").agg(F.min(F.struct("real", "x")).alias("row")).select("mark", "row.*")
+    held = F.conv(F.substring("mark", -2, 2), 16, 10).cast("int") % 5 == 0
+    known = stored(marked.select(held.alias("held"), F.col("real").cast("long").alias("real"), "x"), "examples")
+
+    fitted = known.where(~F.col("held"))
+    at = fitted.agg(*[F.percentile(F.col("x")[f], QUANTILES) for f in range(len(FEATURES))]).first()
+    cuts = [np.unique(values) if values else np.zeros(1) for values in at]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            kind = np.where(batch["held"].to_numpy(zero_copy_only=False), rows[:, : len(KINDS)].argmax(1), -1)
+            bins = pa.array([row.tobytes() for row in binned(rows, cuts)], pa.binary())
+            used = pa.array((kind < 0) | (rows[:, LOOSE] == 1))
+            placed = pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), bins, batch["real"]], names=["kind", "bins", "real"])
+            yield placed.filter(used)
+
+    placed = known.mapInArrow(place, "kind int, bins binary, real long").groupBy("kind", "bins")
+    patterns = stored(placed.agg(F.count("*").alias("total"), F.sum("real").alias("real")), "patterns")
+    discard(known)
+    learned = patterns.where("kind < 0")
+    total, real = learned.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("real"), F.lit(0))).first()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [b"".join(batch["bins"].to_pylist()), *(batch[name].to_numpy().astype(np.float64).tobytes() for name in ("total", "real"))]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in parts], names=["bins", "total", "real"])
+
+    # A row per batch, for the many rounds that read them.
+    packs = stored(learned.select("bins", "total", "real").mapInArrow(packed, "bins binary, total binary, real binary"), "packs")
+    blocks = packs.rdd.map(lambda row: (_bins(row.bins), np.frombuffer(row.total), np.frombuffer(row.real)))
+
+    # Few arrays go to the driver as they are, which saves a shuffle a round.
+    depth = 1 if blocks.getNumPartitions() <= 64 else 2
+
+    def sums(*grown: object) -> np.ndarray:
+        return blocks.map(lambda block: split_sums(*block, *grown)).treeReduce(np.add, depth)
+
+    grown, trees = grow(cuts, total, real, sums)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = pa.array(grown.score(_bins(b"".join(batch["bins"].to_pylist()))), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch["kind"], scores, batch["total"], batch["real"]], names=["kind", "score", "total", "real"])
+
+    scored = patterns.where("kind >= 0").mapInArrow(judge, "kind int, score double, total long, real long")
+    thresholds = thresholds_of(scored, precision)
+    discard(patterns)
+    discard(packs)
+    return Model(grown.base, trees, thresholds)
+
+
+def _bins(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(-1, len(FEATURES))
 
 
 def find(text: str, model: Model) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
