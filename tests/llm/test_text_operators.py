@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -127,6 +128,44 @@ def test_screening_keeps_every_link(monkeypatch):
     assert not maybe[unrelated].any() and not maybe[:, unrelated].any()
 
 
+def test_tiles_are_screened_side_by_side(monkeypatch):
+    """Many tiles at once, from batches that cut them anywhere, give what each gives alone."""
+    rng = np.random.default_rng(6)
+    base = [rng.integers(0, 1 << 63, size, dtype=np.uint64) for size in (12, 300, 1_500)]
+    tiles = []
+    for _ in range(60):
+        made = [base[rng.integers(3)] for _ in range(rng.integers(1, 8))]
+        tiles.append([np.unique(own[rng.random(len(own)) < rng.choice([0.8, 0.97, 1.0])]) for own in made])
+    shapes = [[ngram_join.shape_of(own) for own in sets] for sets in tiles]
+    rows = [(t, i, len(tiles[t][i]), shapes[t][i]) for t in range(len(tiles)) for i in range(len(tiles[t]))]
+    table = pa.RecordBatch.from_arrays([*map(pa.array, zip(*rows))], names=["tile", "i", "n", "shape"])
+    cuts = [0, 1, 2, 30, 31, 90, len(rows)]
+    batches = [table.slice(a, b - a) for a, b in itertools.pairwise(cuts)]
+    expected = set()
+    for t, sets in enumerate(tiles):
+        maybe = ngram_join.screen(shapes[t], np.array([len(own) for own in sets]), 90)
+        for i, root in components_by_hand(range(len(sets)), zip(*map(np.ndarray.tolist, np.nonzero(maybe)))).items():
+            if maybe[i].any() or maybe[:, i].any():
+                expected.add((t, i, root))
+    for pairs in (5, 1 << 15):
+        monkeypatch.setattr(ngram_join, "PAIRS", pairs)
+        got = []
+        for held, starts in ngram_join.whole_tiles(iter(batches), ["tile"]):
+            names, places = held["tile"].to_pylist(), held["i"].to_pylist()
+            assert starts.tolist() == [i for i in range(len(held)) if places[i] == 0]
+            for chosen, roots in ngram_join.screened(held["shape"], held["n"].to_numpy(), starts, 90):
+                got += [(names[i], places[i], places[root]) for i, root in zip(chosen, roots)]
+        assert len(got) == len(set(got)) and set(got) == expected and len(expected) > 50
+    assert not list(ngram_join.whole_tiles(iter([]), ["tile"]))
+
+
+def test_counters_tell_rare_ngrams_apart(documents):
+    """Of 300,000 different words, each used once, most have a counter of their own."""
+    rows = [(i, " ".join(f"w{k}" for k in range(i * 1_000, (i + 1) * 1_000))) for i in range(300)]
+    sketch = ngram_join.frequency_sketch(documents([*rows, (300, None)]), 1)
+    assert sketch.sum() == 300_000 and (sketch == 1).sum() > 0.7 * 300_000
+
+
 def test_overlap_products_agree_with_sets():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60)).astype(np.uint64)) for _ in range(40)]

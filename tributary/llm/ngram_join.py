@@ -7,17 +7,18 @@ columns. Pairs are first screened by size alone: by the sizes of the two sets, a
 many n-grams of each fall into each of a few classes of hashes, since the overlap cannot
 be more than the sum of the smaller counts. For what is left of a block, the product of
 the incidence matrix with its transpose is summed over column blocks, and the sum stops
-when no pair can still reach the bound its sizes set. A block returns a spanning forest of
+when no pair can still reach the bound its sizes set. Most blocks are small, so a task screens
+the pairs of many at once, PAIRS at a time. A block returns a spanning forest of
 its links, not its pairs, so a large group of near-copies stays linear in what it writes.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,16 +28,18 @@ from tributary.llm.names import quoted, unused
 from tributary.llm.words import Words, ngrams, text_slices
 from tributary.sources.scratch import stored
 
-#: Counters of n-gram frequency: 2**SKETCH_BITS, whatever the corpus.
-SKETCH_BITS = 17
+#: Counters of n-gram frequency: 2**SKETCH_BITS, whatever the corpus. They travel in parts
+#: of 2**PART_BITS.
+SKETCH_BITS, PART_BITS = 20, 12
 #: Bounds of a tile of a block: classes, and n-grams in their sets.
 TILE_DOCS = 1_000
 TILE_GRAMS = 2_000_000
 #: Pairs of classes, ordered ones, that one task screens on average, and the least number
 #: of tasks they are dealt to.
 TASK_PAIRS, MIN_TASKS = 20_000, 256
-#: Columns that are multiplied at once.
-COLUMNS = 2_048
+#: Columns that are multiplied at once, rows whose bounds are held at once, and pairs of
+#: sets that are screened at once.
+COLUMNS, ROWS, PAIRS = 512, 128, 1 << 15
 #: Hash classes whose sizes screen pairs: for all sets, and for sets of MANY n-grams or more.
 MANY = 1_024
 COARSE, FINE = 64, 512
@@ -47,8 +50,12 @@ def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     for _, _, offsets, data in text_slices(texts):
         words = Words(offsets, data)
         hashes = words.hashes(lower=True)
-        for i in range(len(offsets) - 1):
-            yield np.unique(ngrams(hashes[words.bounds[i] : words.bounds[i + 1]], n))
+        windows = ngrams(hashes, n)  # also those across two texts, which none of them takes
+        for first, after in itertools.pairwise(words.bounds.tolist()):
+            own = np.sort(windows[first : after - n + 1] if after - first >= n else ngrams(hashes[first:after], n))
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            yield own[new]
 
 
 def _set_key(grams: np.ndarray) -> bytes | None:
@@ -65,40 +72,102 @@ def shape_of(grams: np.ndarray) -> bytes:
     if len(grams) < MANY:
         classes //= FINE // COARSE
     counts = np.bincount(classes, minlength=COARSE if len(grams) < MANY else FINE)
-    return counts.astype(next(f"<u{size}" for size in (1, 2, 4) if counts.max() < 1 << 8 * size)).tobytes()
-
-
-def _shapes(raw: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The COARSE counts of all sets, and the FINE ones of the large (others are zero)."""
-    coarse = np.zeros((len(raw), COARSE), np.int64)
-    fine = np.zeros((len(raw), FINE if (sizes >= MANY).any() else 0), np.int64)
-    for i, (shape, size) in enumerate(zip(raw, sizes)):
-        classes = COARSE if size < MANY else FINE
-        counts = np.frombuffer(shape, f"<u{len(shape) // classes}")
-        coarse[i] = counts if classes == COARSE else counts.reshape(COARSE, -1).sum(1)
-        if classes == FINE:
-            fine[i] = counts
-    return coarse, fine
+    return _narrow(counts)
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in the least width that holds them."""
+    most = int(counts.max(initial=0))
+    return counts.astype(next(f"<u{size}" for size in (1, 2, 4, 8) if most < 1 << 8 * size)).tobytes()
+
+
+def _shapes(raw: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The COARSE counts of all sets, the FINE ones of the large, and where in these each set is."""
+    _, offsets, data = raw.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    many = sizes >= MANY
+    lengths, classes = np.diff(offsets), np.where(many, FINE, COARSE)
+    coarse = np.zeros((len(raw), COARSE), np.int32)
+    fine, at = np.zeros((int(many.sum()), FINE), np.int32), np.cumsum(many) - 1
+    for length in np.unique(lengths):
+        for held in (COARSE, FINE):
+            rows = np.flatnonzero((lengths == length) & (classes == held))
+            if len(rows):
+                own = np.ascontiguousarray(data[offsets[rows][:, None] + np.arange(length)])
+                counts = own.view(f"<u{length // held}").astype(np.int32)
+                coarse[rows] = counts.reshape(len(rows), COARSE, -1).sum(2)
+                if held == FINE:
+                    fine[at[rows]] = counts
+    return coarse, fine, at
+
+
+def candidates(raw: pa.Array, sizes: np.ndarray, starts: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of one tile that may be linked, lower row first: all that are, and few more.
+
+    ``starts`` are the first rows of the tiles, which are screened side by side. Pairs
+    leave in the order of their lower rows, PAIRS or those of one row at a time.
+    """
+    coarse, fine, at = _shapes(raw, sizes)
+    ends = np.repeat(np.append(starts[1:], len(sizes)), np.diff(np.append(starts, len(sizes))))
+    others = ends - np.arange(len(sizes)) - 1
+    before = np.concatenate(([0], np.cumsum(others)))
+    first = 0
+    while first < len(sizes):
+        after = max(first + 1, int(np.searchsorted(before, before[first] + PAIRS, "right")) - 1)
+        own = np.arange(first, after)
+        i = np.repeat(own, others[own])
+        j = i + 1 + np.arange(len(i)) - (before[i] - before[first])
+        first = after
+        fits = np.minimum(sizes[i], sizes[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])
+        i, j = i[fits], j[fits]
+        fits = np.minimum(coarse[i], coarse[j]).sum(1) * (100 + percent) >= percent * (sizes[i] + sizes[j])
+        i, j = i[fits], j[fits]
+        large = np.flatnonzero((sizes[i] >= MANY) & (sizes[j] >= MANY))
+        fits = np.ones(len(i), bool)
+        step = max(1, PAIRS * COARSE // FINE)
+        for part in range(0, len(large), step):
+            x = large[part : part + step]
+            most = np.minimum(fine[at[i[x]]], fine[at[j[x]]]).sum(1)
+            fits[x] = most * (100 + percent) >= percent * (sizes[i[x]] + sizes[j[x]])
+        if fits.any():
+            yield i[fits], j[fits]
 
 
 def screen(raw: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of sets may be linked, as an upper triangle: all that are, and few more."""
-    k = len(sizes)
-    coarse, fine = _shapes(raw, sizes)
-    maybe = np.zeros((k, k), bool)
-    for i in range(k - 1):
-        others = np.arange(i + 1, k)
-        needed = percent * (sizes[i] + sizes[others])
-        others = others[np.minimum(sizes[i], sizes[others]) * (100 + percent) >= needed]
-        for counts, fits in ((coarse, np.ones(k, bool)), (fine, sizes >= MANY)):
-            if len(others) and fits[i]:
-                most = np.minimum(counts[i], counts[others]).sum(1)
-                needed = percent * (sizes[i] + sizes[others])
-                others = others[~fits[others] | (most * (100 + percent) >= needed)]
-        maybe[i, others] = True
+    """Which pairs of sets of one tile may be linked, as an upper triangle."""
+    maybe = np.zeros((len(sizes), len(sizes)), bool)
+    for i, j in candidates(pa.array(raw, pa.binary()), np.asarray(sizes, np.int64), np.zeros(1, np.int64), percent):
+        maybe[i, j] = True
     return maybe
 
 
+def whole_tiles(batches: Iterator[pa.RecordBatch], tile: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole tiles, and the first row of each; rows come sorted by tile."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            rows, batch = held, held
+        elif not len(batch):
+            continue
+        else:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+        if rows is None:
+            return
+        new = np.zeros(len(rows), bool)
+        new[0] = True
+        for name in tile:
+            key = rows[name].to_numpy(zero_copy_only=False)
+            new[1:] |= key[1:] != key[:-1]
+        starts = np.flatnonzero(new)
+        if rows is held:  # the last
+            yield rows, starts
+        else:
+            if len(starts) > 1:
+                yield rows.slice(0, starts[-1]), starts[:-1]
+            held = rows.slice(starts[-1])
+
+
 def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     """How many n-grams of all texts fall on each counter.
 
@@ -106,21 +175,30 @@ def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     The counts only order columns; any order gives the same links.
     """
 
+    parts, part = 1 << SKETCH_BITS - PART_BITS, 1 << PART_BITS
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             for grams in gram_sets(batch["text"], n):
-                total += np.bincount(_bucket(grams), minlength=len(total)) if len(grams) > 4096 else 0
-                if len(grams) <= 4096:
-                    np.add.at(total, _bucket(grams), 1)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["bucket", "n"])
+                np.add.at(total, _bucket(grams), 1)
+        counts = [_narrow(own) for own in total.reshape(parts, part)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts)), pa.array(counts, pa.binary())], names=["part", "counts"])
+
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(part, np.int64)
+        for batch in batches:
+            for counts in batch["counts"]:
+                held = counts.as_buffer()
+                total += np.frombuffer(held, f"<u{held.size // part}")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([_narrow(total)], pa.binary())], names=["part", "counts"])
 
-    counted = texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in counted.collect():  # at most one row per counter
-        sketch[row.bucket] = row.n
-    return sketch
+    found = texts.select("text").mapInArrow(count, "part long, counts binary")
+    sketch = np.zeros((parts, part), np.int64)
+    for row in found.groupBy("part").applyInArrow(add, found.schema).collect():  # a row per part
+        sketch[row.part] = np.frombuffer(row.counts, f"<u{len(row.counts) // part}")
+    sketch = sketch.ravel()
+    return sketch.astype(np.uint32) if sketch.max() < 1 << 32 else sketch
 
 
 def prefix_size(size: int, percent: int) -> int:
@@ -128,6 +206,14 @@ def prefix_size(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def prefix_of(grams: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest of a set's sorted n-grams; of equally rare ones the smallest."""
+    size = prefix_size(len(grams), percent)
+    bound = np.partition(counts, size - 1)[size - 1]
+    below = np.flatnonzero(counts < bound)
+    return grams[np.concatenate((below, np.flatnonzero(counts == bound)[: size - len(below)]))]
+
+
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, prefix, shape) of each row of (doc_id, text)."""
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, n))
@@ -140,9 +226,8 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 keys.append(_set_key(grams))
                 shapes.append(shape_of(grams))
                 if len(grams):
-                    order = np.lexsort((grams, sketch.value[_bucket(grams)]))
-                    prefixes.append(grams[order[: prefix_size(len(grams), percent)]])
-                ends.append(ends[-1] + (prefix_size(len(grams), percent) if len(grams) else 0))
+                    prefixes.append(prefix_of(grams, sketch.value[_bucket(grams)], percent))
+                ends.append(ends[-1] + (len(prefixes[-1]) if len(grams) else 0))
             flat = pa.array(np.concatenate(prefixes).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
             arrays = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(shapes, pa.binary())]
@@ -226,37 +311,50 @@ def overlaps(sets: list[np.ndarray], percent: int) -> np.ndarray:
     that is left are discarded; if none remains, the rest of the product is not computed.
     """
     k = len(sets)
-    sizes = np.array([len(s) for s in sets], np.float64)
-    needed = percent * (sizes[:, None] + sizes[None, :]) / (100 + percent)
-    open_ = np.triu(np.minimum(sizes[:, None], sizes[None, :]) >= needed - 1e-9, 1)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if k == 2:
+        shared = len(np.intersect1d(*sets, assume_unique=True))
+        return np.array([[False, shared * (100 + percent) >= percent * sizes.sum()], [False, False]])
     total = np.zeros((k, k), np.float32)
-    owner = np.repeat(np.arange(k), sizes.astype(np.int64))
+    open_ = np.triu(np.ones((k, k), bool), 1)
+
+    def bounded(left: np.ndarray) -> None:
+        """Discard the pairs that cannot reach their bound with ``left`` more in either set."""
+        for first in range(0, k, ROWS):
+            own = slice(first, first + ROWS)
+            most = total[own, first:].astype(np.int64) + np.minimum(left[own, None], left[None, first:])
+            open_[own, first:] &= most * (100 + percent) >= percent * (sizes[own, None] + sizes[None, first:])
+
+    bounded(sizes)
+    owner = np.repeat(np.arange(k, dtype=np.int32), sizes)
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(column, kind="stable")
     begin = np.concatenate(([0], np.cumsum(count)))
-    members = owner[order]
+    members = owner[order].astype(np.int64)
     many = max(8, k // 16)
     flat = total.ravel()
     for held in np.unique(count[(count > 1) & (count < many)]):
         a, b = np.triu_indices(held, 1)
         chosen = np.flatnonzero(count == held)
-        step = max(1, 1_000_000 // len(a))
+        step = max(1, 250_000 // len(a))
         for first in range(0, len(chosen), step):
             rows = members[begin[chosen[first : first + step]][:, None] + np.arange(held)]
             np.add.at(flat, (rows[:, a] * k + rows[:, b]).ravel(), 1)
     dense = np.flatnonzero(count >= many)
-    left = np.bincount(owner[count[column] >= many], minlength=k).astype(np.float64)
+    left = np.bincount(owner[count[column] >= many], minlength=k)
     for first in range(0, len(dense), COLUMNS):
-        open_ &= total + np.minimum(left[:, None], left[None, :]) >= needed - 1e-9
+        bounded(left)
         if not open_.any():
             return open_
         own = dense[first : first + COLUMNS]
         cells = np.concatenate([np.arange(begin[c], begin[c + 1]) for c in own])
         block = np.zeros((k, len(own)), np.float32)
         block[members[cells], np.repeat(np.arange(len(own)), count[own])] = 1
-        total += np.triu(block @ block.T, 1)
-        left -= block.sum(1)
-    return open_ & (total.astype(np.float64) * (100 + percent) >= percent * (sizes[:, None] + sizes[None, :]))
+        for row in range(0, k, ROWS):
+            total[row : row + ROWS, row:] += block[row : row + ROWS] @ block[row:].T
+        left -= block.sum(1).astype(np.int64)
+    bounded(np.zeros(k, np.int64))
+    return open_
 
 
 def forest(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
@@ -277,6 +375,43 @@ def forest(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def screened(raw: pa.Array, sizes: np.ndarray, starts: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, roots) of the sets that may be linked to another of their tile, by component.
+
+    ``starts`` are the first rows of the tiles.
+    """
+    tile, rows, roots = -1, [], []
+    ends = np.append(starts[1:], len(sizes))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def close() -> None:
+        if found:
+            i, j = (np.concatenate(x) - starts[tile] for x in zip(*found))
+            maybe = np.zeros((ends[tile] - starts[tile],) * 2, bool)
+            maybe[i, j] = True
+            held = np.unique(np.concatenate((i, j)))
+            tree = forest(maybe[np.ix_(held, held)], held + starts[tile])
+            parts = dict(tree) | {root: root for _, root in tree}
+            rows.extend(parts)
+            roots.extend(parts.values())
+            found.clear()
+
+    for i, j in candidates(raw, sizes, starts, percent):
+        of = np.searchsorted(starts, i, "right") - 1
+        cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+        for x, y in zip([0, *cuts], [*cuts, len(of)]):
+            if of[x] != tile:
+                close()
+                tile = of[x]
+            found.append((i[x:y], j[x:y]))
+        if len(rows) > PAIRS:
+            yield np.array(rows, np.int64), np.array(roots, np.int64)
+            rows.clear(), roots.clear()
+    close()
+    if rows:
+        yield np.array(rows, np.int64), np.array(roots, np.int64)
+
+
 def ngram_components(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -306,17 +441,20 @@ def ngram_components(
     tasks = max(MIN_TASKS, math.ceil(pairs / TASK_PAIRS))
     met = cut.join(classes.select("rep", "n", "set_key", "shape"), "rep").repartition(tasks, *tile)
 
-    def meet(key, group: pd.DataFrame) -> pd.DataFrame:
-        reps = group["rep"].to_numpy(np.int64)
-        tree = forest(screen(list(group["shape"]), group["n"].to_numpy(np.int64), percent), np.arange(len(reps)))
-        roots = {child: root for child, root in tree} | {root: root for _, root in tree}
-        rows = [(*key, int(reps[root]), int(reps[i]), group["set_key"].iloc[i]) for i, root in roots.items()]
-        return pd.DataFrame(rows, columns=[*tile, "part", "rep", "set_key"])
-
-    screened = met.groupBy(*tile).applyInPandas(
+    # Most tiles have a few rows, so a task screens many of them at once.
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_tiles(batches, tile):
+            reps, sizes = (rows[name].to_numpy() for name in ("rep", "n"))
+            for chosen, roots in screened(rows["shape"], sizes, starts, percent):
+                found = rows.take(pa.array(chosen))
+                yield pa.RecordBatch.from_arrays(
+                    [*(found[name] for name in tile), pa.array(reps[roots]), found["rep"], found["set_key"]], names=[*tile, "part", "rep", "set_key"]
+                )
+
+    placed = met.select(*tile, "rep", "n", "set_key", "shape").sortWithinPartitions(*tile).mapInArrow(
         meet, "block long, low long, low_part int, high long, high_part int, part long, rep long, set_key binary"
     )
-    placed = stored(screened, "tiles")
+    placed = stored(placed, "tiles")
 
     # Only classes that may be linked need their whole sets, which are made from the text again.
     wanted = placed.select("rep", "set_key").distinct()
@@ -331,15 +469,14 @@ def ngram_components(
 
     whole = texts.mapInArrow(whole_sets, "rep long, set_key binary, grams binary").dropDuplicates(["set_key"])
 
-    def link(key, group: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(group) > 1:
-            group = group.sort_values("rep")  # roots are then the smallest ids
-            held = [np.frombuffer(x, np.uint64) for x in group["grams"]]
-            found = forest(overlaps(held, percent), group["rep"].to_numpy(np.int64))
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+    def link(group: pa.Table) -> pa.Table:
+        order = np.argsort(group["rep"].to_numpy(), kind="stable")  # roots are then the smallest ids
+        held, reps = group["grams"].combine_chunks(), group["rep"].to_numpy()[order]
+        sets = [np.frombuffer(held[i].as_buffer(), np.uint64) for i in order.tolist()]
+        found = np.array(forest(overlaps(sets, percent), reps) if len(sets) > 1 else [], np.int64).reshape(-1, 2)
+        return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    links = placed.join(whole.drop("rep"), "set_key").groupBy(*tile, "part").applyInPandas(link, "a long, b long")
+    links = placed.join(whole.drop("rep"), "set_key").groupBy(*tile, "part").applyInArrow(link, "a long, b long")
     linked = components(links)
     named = classes.select("set_key", "rep").join(linked, F.col("rep") == F.col("id"), "left")
     named = named.select("set_key", F.coalesce("component", "rep").alias("component_id"))
