@@ -3,7 +3,9 @@
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -94,3 +96,22 @@ def test_query_covers_its_table(spark, name):
     key = df.columns[0]
     got = df.select(key).distinct().count()
     assert got == spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).distinct().count()
+
+
+def test_batches_for_python_are_bounded(spark):
+    """4,000 texts of 3 kB do not go to Python at once, unless the session says so."""
+    docs = spark.range(0, 4_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 600).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    before = spark.conf.get(corpus_pipeline.BATCH, None)
+    try:
+        for chosen, least, most in ((None, 1 << 20, 5 << 20), ("32m", 10 << 20, 34 << 20)):
+            spark.conf.unset(corpus_pipeline.BATCH) if chosen is None else spark.conf.set(corpus_pipeline.BATCH, chosen)
+            measure = corpus_pipeline.bounded(lambda _, rows, folder: rows.mapInArrow(sizes, "size long"))
+            assert least < max(row.size for row in measure(spark, docs, SMALL).collect()) < most
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH) if before is None else spark.conf.set(corpus_pipeline.BATCH, before)

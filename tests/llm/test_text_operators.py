@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -175,6 +176,18 @@ def test_overlap_products_agree_with_sets():
         assert linked[i, j] == (100 * both >= 60 * either)
 
 
+def test_a_full_tile_takes_little_memory():
+    """The sets of a tile with all pairs linked; a matrix of long numbers alone has 11 MB."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.unique(base[rng.random(200) < 0.99]) for _ in range(1_200)]
+    tracemalloc.start()
+    linked = ngram_join.overlaps(sets, 80)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert linked.sum() == 1_200 * 1_199 // 2 and most < 40 << 20
+
+
 # --- line dedup ---------------------------------------------------------------------
 
 
